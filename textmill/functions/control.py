@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,7 +52,8 @@ def pattern(family: str = "tiktoken") -> str:
 
 def holds_control(text: Column, family: str = "tiktoken") -> Column:
     """Does the text hold a control token? Counts documents whose raw text does."""
-    return text.rlike(pattern(family))
+    shared = os.path.commonprefix(list(spelling(family).values()))
+    return F.contains(text, F.lit(shared)) & text.rlike(pattern(family))
 
 
 def split_at_control(text: Column, family: str = "tiktoken") -> Column:
