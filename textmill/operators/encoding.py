@@ -122,7 +122,10 @@ def _merge_udf(ranks: DataFrame):
     this package.
     """
     found = ranks.select("token", "id").toArrow().to_pydict()
-    shared = ranks.sparkSession.sparkContext.broadcast(dict(zip(found["token"], found["id"])))
+    table = dict(zip(found["token"], found["id"]))
+    if len(table) != len(found["id"]):
+        raise ValueError("a token occurs more than once in the rank table")
+    shared = ranks.sparkSession.sparkContext.broadcast(table)
 
     def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import pandas as pd

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill import tables
@@ -35,6 +35,10 @@ def _bucketed(records: DataFrame, iteration: str, per_bucket: int) -> DataFrame:
     return records.withColumn("_bucket", F.floor(F.col(iteration) / per_bucket))
 
 
+def _micros(ts: str) -> Column:
+    return F.unix_micros(F.col(ts).cast("timestamp"))
+
+
 def with_elapsed(
     records: DataFrame,
     run: str = "run",
@@ -60,7 +64,7 @@ def with_elapsed(
         parts.join(handed, [run, "_bucket"])
         .withColumn("_previous", F.coalesce(previous, F.col("_before")))
         .withColumn(
-            "elapsed", (F.unix_micros(ts) - F.unix_micros("_previous")) / F.lit(1e6)
+            "elapsed", (_micros(ts) - _micros("_previous")) / F.lit(1e6)
         )
         .select(*records.columns, "elapsed")
     )
