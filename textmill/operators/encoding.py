@@ -1,9 +1,10 @@
 """Text to token ids and back, as joins of pieces with a vocabulary.
 
 A document is cut into pieces, the pieces are looked up by a broadcast join and the
-ids are put together again per document. Partition the documents by their id first
-(``docs.repartition(n, "doc_id")``): pieces of a document then stay where they are
-and the text is the only thing that is ever shuffled.
+ids are put together again per document. Documents are partitioned by their id first:
+its pieces then stay together and the text, far smaller than its pieces, is all that
+is shuffled. ``partitioned=True`` says that they already are, as after
+:func:`textmill.sources.corpus.by_document`.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from textmill import tables
 from textmill.functions import control
 from textmill.functions import pieces as P
 from textmill.operators import vocabulary as V
+from textmill.sources.corpus import by_document
 
 DICTIONARY_ROWS = 65_536
 DICTIONARY_PIECE_BYTES = 128
@@ -28,6 +30,10 @@ def _control_rows(spark, first_id: int, family: str) -> DataFrame:
     return control.control_tokens(spark, first_id).select(F.col(family).alias("piece"), "id")
 
 
+def _together(docs: DataFrame, key: str, partitioned: bool) -> DataFrame:
+    return docs if partitioned else by_document(docs, key)
+
+
 def _piece_rows(
     docs: DataFrame, keys: Sequence[str], text: str, pattern: str, family: str
 ) -> DataFrame:
@@ -45,6 +51,23 @@ def _in_order(*values: str) -> Column:
     return F.sort_array(F.collect_list(part))
 
 
+def _found(
+    docs: DataFrame,
+    vocabulary: DataFrame,
+    size: int,
+    keys: Sequence[str],
+    text: str,
+    pattern: str,
+    family: str,
+) -> DataFrame:
+    """Pieces with their ids; null for those outside the vocabulary."""
+    known = vocabulary.select("piece", "id").unionByName(
+        _control_rows(docs.sparkSession, V.control_start(size), family)
+    )
+    known = V.checked_broadcast(known, F.octet_length("piece") + 16)
+    return _piece_rows(docs, keys, text, pattern, family).join(known, "piece", "left")
+
+
 def encode_with_vocabulary(
     docs: DataFrame,
     vocabulary: DataFrame,
@@ -55,25 +78,22 @@ def encode_with_vocabulary(
     pattern: str = "gpt2",
     family: str = "tiktoken",
     unknown: str = "bytes",
+    partitioned: bool = False,
 ) -> DataFrame:
     """Encode by whole pieces: ``(id_col, *keep, tokens)``.
 
-    ``vocabulary`` holds ``(piece, id)`` from :func:`vocabulary.build_vocabulary`, at most ``size``
-    rows, which is what bounds the broadcast. Pieces outside it become their UTF-8
-    bytes, or the unknown token with ``unknown="token"``.
+    ``vocabulary`` holds ``(piece, id)``, stored, from :func:`vocabulary.build_vocabulary`. Pieces
+    outside it become their UTF-8 bytes, or the unknown token with ``unknown="token"``.
     """
     if unknown not in ("bytes", "token"):
         raise ValueError("unknown must be 'bytes' or 'token'")
     keys = [id_col, *keep]
-    first = V.control_start(size)
-    known = vocabulary.select("piece", "id").unionByName(
-        _control_rows(docs.sparkSession, first, family)
-    )
-    found = _piece_rows(docs, keys, text, pattern, family).join(
-        F.broadcast(known), "piece", "left"
-    )
+    found = _found(
+        _together(docs.select(*keys, text), id_col, partitioned),
+        vocabulary, size, keys, text, pattern, family,
+    )
     if unknown == "token":
-        missing = F.lit(control.control_id("unknown", first))
+        missing = F.lit(control.control_id("unknown", V.control_start(size)))
         found = found.withColumn(
             "id", F.when(F.col("piece").isNotNull(), F.coalesce("id", missing))
         )
@@ -94,14 +114,12 @@ def vocabulary_sizes(
     family: str = "tiktoken",
     size: int = tables.VOCABULARY_SIZE,
 ) -> DataFrame:
-    """Number of tokens per document in byte mode, without building the tokens."""
+    """Number of tokens per document in byte mode, without building the tokens.
+
+    Counting starts before the shuffle, so the documents stay where they are.
+    """
     keys = [id_col, *keep]
-    known = vocabulary.select("piece", "id").unionByName(
-        _control_rows(docs.sparkSession, V.control_start(size), family)
-    )
-    found = _piece_rows(docs, keys, text, pattern, family).join(
-        F.broadcast(known), "piece", "left"
-    )
+    found = _found(docs, vocabulary, size, keys, text, pattern, family)
     count = F.when(F.col("id").isNotNull(), 1).otherwise(
         F.coalesce(F.octet_length("piece"), F.lit(0))
     )
@@ -193,6 +211,7 @@ def encode_with_ranks(
     pattern: str = "gpt2",
     family: str = "tiktoken",
     dictionary: DataFrame | None = None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Encode with a byte-pair rank table ``(token BINARY, id)``: ``(id_col, *keep, tokens)``.
 
@@ -211,7 +230,9 @@ def encode_with_ranks(
         known = known.unionByName(dictionary.select("piece", "ids"))
     known = V.checked_broadcast(known, F.octet_length("piece") + 4 * F.size("ids") + 48)
     looked_up = (
-        _piece_rows(docs, keys, text, pattern, family)
+        _piece_rows(
+            _together(docs.select(*keys, text), id_col, partitioned), keys, text, pattern, family
+        )
         .join(known, "piece", "left")
         .withColumn("miss", F.when(F.col("ids").isNull(), F.col("piece")))
     )
@@ -270,10 +291,12 @@ def _spelled(
     tokens: str,
     family: str,
     first: int | None,
+    partitioned: bool,
 ) -> DataFrame:
     """Per document the ordered ``(pos, id, raw)`` of its tokens; ``raw`` is text of any bytes."""
     first = ranks_size(ranks) if first is None else first
-    rows = encoded.select(*keys, F.posexplode_outer(tokens).alias("pos", "id")).join(
+    together = _together(encoded.select(*keys, tokens), keys[0], partitioned)
+    rows = together.select(*keys, F.posexplode_outer(tokens).alias("pos", "id")).join(
         _token_table(ranks, first, family), "id", "left"
     )
     spelled = rows.withColumn("raw", F.col("token").cast("string"))
@@ -288,11 +311,13 @@ def decode(
     tokens: str = "tokens",
     family: str = "tiktoken",
     first_control_id: int | None = None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Token ids to text: ``(id_col, *keep, text)``. Broken UTF-8 becomes U+FFFD."""
     keys = [id_col, *keep]
     joined = F.concat_ws("", F.col("parts")["raw"])
-    return _spelled(encoded, ranks, keys, tokens, family, first_control_id).select(
+    spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned)
+    return spelled.select(
         *keys, F.make_valid_utf8(joined).alias("text")
     )
 
@@ -305,6 +330,7 @@ def words(
     tokens: str = "tokens",
     family: str = "tiktoken",
     first_control_id: int | None = None,
+    partitioned: bool = False,
 ) -> DataFrame:
     """Each token id with its own text: ``words ARRAY<STRUCT<id, word>>``.
 
@@ -317,6 +343,7 @@ def words(
             part["id"].alias("id"), F.make_valid_utf8(part["raw"]).alias("word")
         ),
     )
-    return _spelled(encoded, ranks, keys, tokens, family, first_control_id).select(
+    spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned)
+    return spelled.select(
         *keys, pairs.alias("words")
     )

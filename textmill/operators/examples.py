@@ -101,17 +101,18 @@ def shuffled_batches(
     batch_size: int = tables.BATCH_SIZE,
     seed: int | str = 0,
     key: Sequence[str] = ("block",),
+    bucket_digits: int = 4,
 ) -> DataFrame:
     """Every example once per epoch, in a fresh random order: ``epoch, batch, slot``.
 
     The order is that of a hash of example, epoch and seed. Hash prefixes are the buckets
-    of the numbering: 4,096 per epoch, of even size whatever the examples are.
+    of the numbering: 65,536 per epoch, of even size whatever the examples are.
     """
     order_key = ordering.hash_key(*key, "epoch", seed=seed)
     keyed = (
         examples.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_order", order_key)
-        .withColumn("_bucket", ordering.hash_bucket(F.col("_order")))
+        .withColumn("_bucket", ordering.hash_bucket(F.col("_order"), bucket_digits))
     )
     numbered = ordering.row_index(
         keyed, ["_order", *key], "_bucket", within=["epoch"], name="_row", few_buckets=True

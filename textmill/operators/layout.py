@@ -162,17 +162,22 @@ def metadata(
 
 def mix_report(docs: DataFrame, tokens: str = "size", source: str = "source") -> DataFrame:
     """Documents, tokens and share of tokens per source, and a ``Total`` row."""
-    summed = docs.rollup(source).agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.col(tokens).cast("long")), F.lit(0)).alias("tokens"),
+    per_source = docs.groupBy(source).agg(
+        F.count(F.lit(1)).alias("_documents"),
+        F.coalesce(F.sum(F.col(tokens).cast("long")), F.lit(0)).alias("_tokens"),
+    )
+    # one row per source from here on
+    summed = per_source.rollup(source).agg(
+        F.sum("_documents").alias("documents"),
+        F.sum("_tokens").alias("tokens"),
         F.grouping(source).alias("_total"),
     )
-    everything = summed.filter("_total = 1").select("tokens").scalar()
-    return summed.select(
+    everything = F.max(F.when(F.col("_total") == 1, F.col("tokens"))).over(Window.partitionBy())
+    return summed.withColumn("_all", everything).select(
         F.when(F.col("_total") == 1, "Total").otherwise(F.col(source)).alias("source"),
         "documents",
         "tokens",
-        F.when(everything > 0, F.round(100.0 * F.col("tokens") / everything, 4)).alias(
+        F.when(F.col("_all") > 0, F.round(100.0 * F.col("tokens") / F.col("_all"), 4)).alias(
             "ratio"
         ),
     )

@@ -14,8 +14,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 4_096
-ROWS_PER_BUCKET = 1_000_000
+MAX_BUCKETS = 65_536
+MAX_QUANTILES = 1_024
+ROWS_PER_BUCKET = 250_000
 
 
 def with_range_bucket(
@@ -29,17 +30,25 @@ def with_range_bucket(
 
     Boundaries are quantiles of the key, found by one aggregate over that column and
     fixed from then on, so every use of the result sees the same buckets, also when
-    tasks are run again. At most ``max_buckets`` buckets exist.
+    tasks are run again. Up to 1,024 quantiles are taken; where more buckets are wanted the
+    ranges between them are cut evenly. At most ``max_buckets`` buckets exist.
     """
     rows = df.agg(F.count(key).alias("n")).first()["n"]
     wanted = min(max_buckets, -(-rows // rows_per_bucket))
     bounds: list[float] = []
     if wanted > 1:
-        shares = [i / wanted for i in range(1, wanted)]
-        quantiles = df.agg(
-            F.percentile_approx(key, shares, max(10_000, 20 * wanted)).alias("q")
-        ).first()["q"]
-        bounds = sorted({float(q) for q in quantiles})
+        ranges = min(wanted, MAX_QUANTILES)
+        shares = [i / ranges for i in range(ranges + 1)]
+        quantiles = df.agg(F.percentile_approx(key, shares, 20 * MAX_QUANTILES).alias("q"))
+        edges = [float(q) for q in quantiles.first()["q"]]
+        steps = wanted // ranges
+        bounds = sorted(
+            {
+                low + (high - low) * step / steps
+                for low, high in zip(edges, edges[1:])
+                for step in range(steps)
+            }
+        )
     if not bounds:
         return df.withColumn(bucket, F.lit(0))
     splits = [float("-inf"), *bounds, float("inf")]

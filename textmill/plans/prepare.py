@@ -40,7 +40,6 @@ def prepare_corpus(
     seed: int | str = 0,
     encyclopedia: bool = True,
     family: str = "tiktoken",
-    partitions: int | None = None,
 ) -> DataFrame:
     """Clean, split, encode and store a corpus; returns its token shards.
 
@@ -48,14 +47,9 @@ def prepare_corpus(
     none is given. The cleaned text is written once; every later step reads that.
     """
     spark = docs.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    clean = clean_documents(
-        corpus.spread(docs, partitions), encyclopedia=encyclopedia, family=family
-    )
+    clean = clean_documents(corpus.spread(docs), encyclopedia=encyclopedia, family=family)
     clean.write.mode("overwrite").parquet(f"{path}/clean")
-    text = corpus.spread(
-        layout.exact_split(spark.read.parquet(f"{path}/clean"), ratio, seed), partitions
-    )
+    text = layout.exact_split(spark.read.parquet(f"{path}/clean"), ratio, seed)
     if ranks is not None:
         encoded = encoding.encode_with_ranks(text, ranks, ["split"], family=family)
         first = encoding.ranks_size(ranks)

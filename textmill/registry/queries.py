@@ -38,10 +38,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def _read(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus.read_corpus(spark, f"{sf}/documents.parquet")
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents, partitioned by id as all later steps want them."""
-    docs = corpus.read_corpus(spark, f"{sf}/documents.parquet")
-    return corpus.spread(docs, spark.sparkContext.defaultParallelism)
+    """The documents for row-wise work."""
+    return corpus.spread(_read(spark, sf))
 
 
 def _decorated(docs: DataFrame, kind: str) -> DataFrame:
@@ -305,8 +308,7 @@ def wrap_document(spark, sf):
 
 @query
 def document_at(spark, sf):
-    docs = corpus.read_corpus(spark, f"{sf}/documents.parquet")
-    return documents.document_at(docs, 7).select("doc_id", "text")
+    return documents.document_at(_read(spark, sf), 7).select("doc_id", "text")
 
 
 @query
@@ -363,20 +365,22 @@ def vocabulary_table(spark, sf):
 
 
 def _clean(spark, sf) -> DataFrame:
-    docs = _documents(spark, sf)
+    """Cleaned documents, partitioned by id."""
+    docs = corpus.by_document(_read(spark, sf))
     return docs.withColumn("text", cleaning.clean_text(F.col("text")))
 
 
 def _encoded(spark, sf, ratio) -> DataFrame:
-    docs = layout.exact_split(_documents(spark, sf), ratio, SEED)
-    encoded = encoding.encode_with_vocabulary(docs, _vocabulary(docs), VOCAB, ["split"])
+    docs = layout.exact_split(_read(spark, sf), ratio, SEED)
+    vocab = _vocabulary(_documents(spark, sf))
+    encoded = encoding.encode_with_vocabulary(docs, vocab, VOCAB, ["split"])
     return encoding.add_document_ends(encoded, vocabulary.control_start(VOCAB))
 
 
 @query
 def encode_bytes(spark, sf):
-    docs = _documents(spark, sf)
-    encoded = encoding.encode_with_vocabulary(docs, _vocabulary(docs), VOCAB)
+    vocab = _vocabulary(_documents(spark, sf))
+    encoded = encoding.encode_with_vocabulary(_read(spark, sf), vocab, VOCAB)
     return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
 
 
@@ -385,15 +389,15 @@ def encode_clean_text(spark, sf):
     """Control tokens inside the text become control ids."""
     docs = _clean(spark, sf)
     vocab = _vocabulary(_documents(spark, sf))
-    encoded = encoding.encode_with_vocabulary(docs, vocab, VOCAB)
+    encoded = encoding.encode_with_vocabulary(docs, vocab, VOCAB, partitioned=True)
     return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
 
 
 @query
 def encode_unknown_token(spark, sf):
-    docs = _documents(spark, sf)
+    vocab = _vocabulary(_documents(spark, sf))
     encoded = encoding.encode_with_vocabulary(
-        docs, _vocabulary(docs), VOCAB, unknown="token"
+        _read(spark, sf), vocab, VOCAB, unknown="token"
     )
     return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
 
@@ -419,7 +423,7 @@ def _rank_table(spark, sf) -> DataFrame:
 @query
 def encode_ranks(spark, sf):
     """Byte-pair merges for pieces outside the rank table; no SQL equivalent."""
-    encoded = encoding.encode_with_ranks(_documents(spark, sf), _rank_table(spark, sf))
+    encoded = encoding.encode_with_ranks(_read(spark, sf), _rank_table(spark, sf))
     return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
 
 
@@ -429,31 +433,33 @@ def encode_decode_ranks(spark, sf):
     table = _rank_table(spark, sf)
     counts = vocabulary.piece_counts(docs)
     dictionary = stored(encoding.piece_dictionary(counts, table), "dictionary")
-    encoded = encoding.encode_with_ranks(docs, table, dictionary=dictionary)
-    return encoding.decode(encoded, table)
+    encoded = encoding.encode_with_ranks(
+        docs, table, dictionary=dictionary, partitioned=True
+    )
+    return encoding.decode(encoded, table, partitioned=True)
 
 
 @query
 def decode_bytes(spark, sf):
-    docs = _documents(spark, sf)
-    vocab = _vocabulary(docs)
-    encoded = encoding.encode_with_vocabulary(docs, vocab, VOCAB)
+    vocab = _vocabulary(_documents(spark, sf))
+    encoded = encoding.encode_with_vocabulary(_read(spark, sf), vocab, VOCAB)
     return encoding.decode(
         encoded,
         encoding.vocabulary_ranks(vocab),
         first_control_id=vocabulary.control_start(VOCAB),
+        partitioned=True,
     )
 
 
 @query
 def token_words(spark, sf):
-    docs = _documents(spark, sf)
-    vocab = _vocabulary(docs)
-    encoded = encoding.encode_with_vocabulary(docs, vocab, VOCAB)
+    vocab = _vocabulary(_documents(spark, sf))
+    encoded = encoding.encode_with_vocabulary(_read(spark, sf), vocab, VOCAB)
     named = encoding.words(
         encoded,
         encoding.vocabulary_ranks(vocab),
         first_control_id=vocabulary.control_start(VOCAB),
+        partitioned=True,
     )
     return named.select("doc_id", F.posexplode("words").alias("pos", "w")).select(
         "doc_id", "pos", F.col("w.id").alias("id"), F.col("w.word").alias("word")

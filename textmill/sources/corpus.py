@@ -54,10 +54,26 @@ def union_corpora(*corpora: DataFrame) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), corpora)
 
 
-def spread(docs: DataFrame, partitions: int, id_col: str = "doc_id") -> DataFrame:
-    """Partition by document id.
+def spread(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Repartition only if the input has fewer splits than the session has cores.
 
-    Cleaning is then even work, and every later step that groups by document
-    finds its rows in place.
+    Row-wise work on a large corpus needs no shuffle; a few unsplittable files do.
     """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() >= cores:
+        return docs
+    return docs.repartition(cores, id_col)
+
+
+def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Partition by document id, so that steps that regroup documents find rows in place.
+
+    The number is fixed, ``spark.sql.shuffle.partitions`` or more: work on text is heavy
+    for its bytes, and partitions merged by size alone would leave cores idle.
+    """
+    spark = docs.sparkSession
+    partitions = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        spark.sparkContext.defaultParallelism,
+    )
     return docs.repartition(partitions, id_col)
