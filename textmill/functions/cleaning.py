@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from textmill import tables
 from textmill.functions import charsets, control, folding
+from textmill.functions.binding import once
 
 _SEPARATOR = "\x1f"
 
@@ -49,11 +50,10 @@ def replace_where_marked(text: Column, pairs: Sequence[tuple[str, str]]) -> Colu
         _constant_array([new for _, new in pairs]).alias("new"),
     )
     present = F.array_distinct(F.regexp_extract_all(text, F.lit(f"[{body}]"), F.lit(0)))
-    # one-element transform: binds `present` so that it is computed once per text
-    applying = F.transform(
-        F.array(present),
+    applying = once(
+        present,
         lambda found: F.filter(table, lambda pair: F.array_contains(found, pair["mark"])),
-    )[0]
+    )
     replaced = F.reduce(
         applying, text, lambda done, pair: F.replace(done, pair["old"], pair["new"])
     )
@@ -167,26 +167,27 @@ def clean_text(
     parts between them are cleaned, each on its own. ``folds`` replaces the default
     table of ASCII spellings.
     """
-    whole = _clean_whole(text, family, folds)
-    if not keep_control_tokens:
-        return whole
-    parts = F.transform(
-        control.split_at_control(drop_carriage_returns(text), family),
-        lambda part: F.when(control.is_control(part, family), part).otherwise(
-            _clean_whole(part, family, folds)
-        ),
-    )
-    # a carriage return inside a token hides it until the returns are gone
-    return F.when(
-        control.holds_control(drop_carriage_returns(text), family), F.concat_ws("", parts)
-    ).otherwise(whole)
+
+    def whole(value: Column) -> Column:
+        return _clean_whole(value, family, folds)
+
+    def by_parts(value: Column) -> Column:
+        parts = control.around_control(value, lambda part: F.array(whole(part)), family)
+        return F.when(control.holds_control(value, family), F.concat_ws("", parts)).otherwise(
+            whole(value)
+        )
+
+    if keep_control_tokens:
+        # a carriage return inside a token hides it until the returns are gone
+        return once(drop_carriage_returns(text), by_parts)
+    return once(text, whole)
 
 
 def unclean_text(
     text: Column, family: str = "tiktoken", keep_control_tokens: bool = False
 ) -> Column:
     """Readable text again: emoji sequences back, control tokens spelled out."""
-    decoded = decode_emoji(text)
+    decoded = once(text, decode_emoji)
     if keep_control_tokens:
         return decoded
     token = control.spelling(family)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,23 +47,34 @@ def control_tokens(spark: SparkSession, first_id: int = 0) -> DataFrame:
 
 
 def pattern(family: str = "tiktoken") -> str:
-    """A regular expression that matches any one token of the family."""
-    return "|".join(re.escape(text) for text in spelling(family).values())
+    """A regular expression that matches any one token of the family.
+
+    What all tokens begin and end with stands outside the alternatives, so that a search
+    looks for one literal.
+    """
+    texts = list(spelling(family).values())
+    head = os.path.commonprefix(texts)
+    tail = os.path.commonprefix([text[::-1] for text in texts])[::-1]
+    middles = [text[len(head) : len(text) - len(tail)] for text in texts]
+    return f"{re.escape(head)}(?:{'|'.join(map(re.escape, middles))}){re.escape(tail)}"
 
 
 def holds_control(text: Column, family: str = "tiktoken") -> Column:
     """Does the text hold a control token? Counts documents whose raw text does."""
-    shared = os.path.commonprefix(list(spelling(family).values()))
-    return F.contains(text, F.lit(shared)) & text.rlike(pattern(family))
-
+    return text.rlike(pattern(family))
 
-def split_at_control(text: Column, family: str = "tiktoken") -> Column:
-    """Parts of the text in order; every control token is a part of its own."""
-    any_token = pattern(family)
-    return F.filter(
-        F.split(text, f"(?={any_token})|(?<={any_token})", -1), lambda part: part != ""
-    )
 
+def around_control(
+    text: Column, between: Callable[[Column], Column], family: str = "tiktoken"
+) -> Column:
+    """Arrays of ``between(part)`` for the parts of a text and its control tokens, in order.
 
-def is_control(part: Column, family: str = "tiktoken") -> Column:
-    return part.isin(*spelling(family).values())
+    ``between`` makes an array of strings from the text between two control tokens.
+    """
+    parts = F.split(text, pattern(family), -1)
+    tokens = F.regexp_extract_all(text, F.lit(pattern(family)), F.lit(0))
+    # one part more than tokens: the last pair has no token
+    paired = F.zip_with(
+        parts, tokens, lambda part, token: F.concat(between(part), F.array_compact(F.array(token)))
+    )
+    return F.flatten(paired)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textmill import tables
 from textmill.functions import control
+from textmill.functions.binding import once
 
 
 def split_pieces(text: Column, pattern: str = "gpt2") -> Column:
@@ -22,17 +23,16 @@ def split_pieces_with_control(
     text: Column, pattern: str = "gpt2", family: str = "tiktoken"
 ) -> Column:
     """Pieces of a text in which control tokens are pieces of their own."""
-    around = F.flatten(
-        F.transform(
-            control.split_at_control(text, family),
-            lambda part: F.when(control.is_control(part, family), F.array(part)).otherwise(
-                split_pieces(part, pattern)
-            ),
+
+    def cut(value: Column) -> Column:
+        around = control.around_control(
+            value, lambda part: split_pieces(part, pattern), family
         )
-    )
-    return F.when(control.holds_control(text, family), around).otherwise(
-        split_pieces(text, pattern)
-    )
+        return F.when(control.holds_control(value, family), around).otherwise(
+            split_pieces(value, pattern)
+        )
+
+    return once(text, cut)
 
 
 def utf8_bytes(text: Column) -> Column:

@@ -15,8 +15,15 @@ from textmill.operators import ordering
 def min_size(
     docs: DataFrame, size: int = tables.MIN_DOCUMENT_SIZE, text: str = "text"
 ) -> DataFrame:
-    """Keep documents of at least ``size`` characters, outer white space not counted."""
-    return docs.filter(F.length(cleaning.strip(F.col(text))) >= size)
+    """Keep documents of at least ``size`` characters, outer white space not counted.
+
+    A document without text is dropped, whatever the size.
+    """
+    return docs.filter(long_enough(F.col(text), size))
+
+
+def long_enough(text: Column, size: int) -> Column:
+    return text.isNotNull() if size <= 0 else F.length(cleaning.strip(text)) >= size
 
 
 def wrap_document(

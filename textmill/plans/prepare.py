@@ -19,12 +19,20 @@ def clean_documents(
     keep_control_tokens: bool = False,
 ) -> DataFrame:
     """Clean ``text``; rows are independent, so ``docs`` may be a stream."""
-    if encyclopedia:
-        docs = docs.withColumn("text", wiki.clean_wiki(F.col("text")))
-    kept = documents.min_size(docs, min_size)
-    return kept.withColumn(
-        "text", cleaning.clean_text(F.col("text"), family, keep_control_tokens)
+
+    def clean(text):
+        return cleaning.clean_text(text, family, keep_control_tokens)
+
+    if not encyclopedia:
+        return documents.min_size(docs, min_size).withColumn("text", clean(F.col("text")))
+    # the size is that of the tightened text; as a filter of its own it would be pushed
+    # below the projection and tighten every text a second time
+    tightened = F.filter(
+        F.array(wiki.clean_wiki(F.col("text"))),
+        lambda text: documents.long_enough(text, min_size),
     )
+    columns = [c for c in docs.columns if c != "text"]
+    return docs.select(*columns, F.explode(F.transform(tightened, clean)).alias("text"))
 
 
 def prepare_corpus(

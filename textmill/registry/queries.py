@@ -328,10 +328,8 @@ def documents_with_control(spark, sf):
 
 
 def _pieces(spark, sf, pattern):
-    docs = _documents(spark, sf).select(
-        "doc_id", pieces.split_pieces(F.col("text"), pattern).alias("pieces")
-    )
-    return docs.select("doc_id", F.posexplode("pieces").alias("pos", "piece"))
+    cut = pieces.split_pieces(F.col("text"), pattern)
+    return _documents(spark, sf).select("doc_id", F.posexplode(cut).alias("pos", "piece"))
 
 
 @query
