@@ -34,15 +34,15 @@ def local_session(cores: int | str = "*", name: str = "textmill", **settings: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is set, as in tests, a temporary one is made and remembered.
+    Only where none is set, as in tests, a temporary one is made and set.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="textmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="textmill-"))
+    return context.getCheckpointDir()
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:

@@ -19,6 +19,8 @@ def read_ranks(spark: SparkSession, path: str) -> DataFrame:
 def write_ranks(ranks: DataFrame, path: str) -> None:
     """The same format, in id order."""
     lines = ranks.repartitionByRange("id").sortWithinPartitions("id")
-    lines.select(F.concat_ws(" ", F.base64("token"), F.col("id").cast("string"))).write.mode(
+    # base64() breaks its output into lines
+    spelled = F.regexp_replace(F.base64("token"), r"\s", "")
+    lines.select(F.concat_ws(" ", spelled, F.col("id").cast("string"))).write.mode(
         "overwrite"
     ).text(path)
