@@ -1,0 +1 @@
+"""Corpus preparation as Spark jobs."""
