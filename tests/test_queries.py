@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from textmill.registry import oracle, queries
 
 SMALL = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = queries.QUERIES  # those of optional packages have tests of their own
+SQL = oracle.sql()
 NO_SQL = {"encode_ranks"}  # byte-pair merges: compared with tiktoken in test_tokens
 
 
@@ -33,6 +34,7 @@ def rows(table, columns):
 
 def test_names():
     assert set(SQL) == set(QUERIES) - NO_SQL
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
