@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import decontamination, quality_rules
+from textmill.llm import decontamination, quality_rules, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,18 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @query
 def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontamination.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
