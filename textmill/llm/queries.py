@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import decontamination, quality_rules, token_counts, toxicity
+from textmill.llm import decontamination, mix, pii, quality_rules, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -21,6 +21,16 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.report(_table(spark, sf, "documents"))
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return mix.report(_table(spark, sf, "documents"))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
