@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import decontamination, mix, pii, quality_rules, token_counts, toxicity
+from textmill.llm import (
+    chat_rotation,
+    decontamination,
+    html_template,
+    mix,
+    near_dedup,
+    pii,
+    quality_rules,
+    token_counts,
+    toxicity,
+    warc_fixity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,11 +37,33 @@ def op1_pii(spark: SparkSession, sf: str) -> DataFrame:
     return pii.report(_table(spark, sf, "documents"))
 
 
+@query
+def op2_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_template.extract(_table(spark, sf, "pages"))
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mix.report(_table(spark, sf, "documents"))
 
 
+@query
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.clustered(_table(spark, sf, "documents"), shingle=3, percent=85)
+
+
+@query
+def op5_chat_rotation(spark: SparkSession, sf: str) -> DataFrame:
+    return chat_rotation.rotated(_table(spark, sf, "conversations"))
+
+
+@query
+def op6_warc_fixity(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages as WARC records, audited against a replica with losses at known places."""
+    records = warc_fixity.warc_records(_table(spark, sf, "pages"))
+    return warc_fixity.audit(records, warc_fixity.damaged(records))
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
@@ -51,3 +84,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+SQL["op5_chat_rotation"] = chat_rotation.SQL
+SQL["op6_warc_fixity"] = warc_fixity.SQL
