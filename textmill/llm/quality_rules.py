@@ -5,8 +5,8 @@ buckets are estimated, one from trusted documents and one from all documents, ea
 counts a bucket. A document's score is the sum of its n-grams' log ratios over their number. It is
 kept if no rule rejects it and its score reaches ``THRESHOLD``, the same for every document and every input.
 
-The trusted multinomial is fitted on at most ``TRUSTED`` trusted documents, those of the smallest id
-hashes, since their ids are broadcast; the raw one counts every document.
+The trusted multinomial is fitted on about ``TRUSTED`` trusted documents at most, chosen by id hash, since
+their ids are broadcast; the raw one counts every document.
 
 Null and empty texts have no words and fail the rules; their score is 0. Repeated documents are
 counted and judged each on its own. Without trusted documents every ratio is 0 and the rules alone decide. Null ids
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.binding import once
+from textmill.llm import sampling
 from textmill.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,9 +95,9 @@ def _buckets(pair: Column, buckets: int) -> tuple[Column, Column]:
 
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """Ids of trusted documents, at most ``most``: the smallest by hash, so that reruns agree."""
+    """Ids of trusted documents, about ``most`` at most: a share by hash, so that reruns agree."""
     good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return sampling.by_hash(good, "doc_id", most)
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> DataFrame:
