@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.session import stored
+
 STRETCH = 256
 UNKNOWN = "unknown"
 END = "<|end|>\n"
@@ -40,13 +42,17 @@ def rotated(turns: DataFrame, stretch: int = STRETCH) -> DataFrame:
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.coalesce(F.floor(F.col("turn") / stretch), F.lit(-(1 << 60))).cast("long").alias("stretch"),
     )
+    order = Window.partitionBy("conv_id", "stretch").orderBy(F.col("turn").asc_nulls_first(), "speaker", "text")
+    said = stored(said.withColumn("nth", F.row_number().over(order)), "turns")
+    # places need lengths only: no text is multiplied before its place is known
+    narrow = said.select("conv_id", "stretch", "nth", "speaker", F.length("text").cast("long").alias("chars"))
     who = said.select(F.col("conv_id").alias("_c"), F.col("speaker").alias("perspective")).distinct()
-    rows = said.join(who, F.col("conv_id").eqNullSafe(F.col("_c"))).select(
-        "conv_id", "perspective", "stretch", "turn", "speaker", "text", F.length(opening(F.col("speaker"), F.col("perspective"))).cast("long").alias("mark")
+    size = F.length(opening(F.col("speaker"), F.col("perspective"))) + F.col("chars") + len(END)
+    rows = narrow.join(who, F.col("conv_id").eqNullSafe(F.col("_c"))).select(
+        "conv_id", "perspective", "stretch", "nth", "chars", size.cast("long").alias("size")
     )
-    size = F.col("mark") + F.length("text") + len(END)
     key = ["conv_id", "perspective"]
-    sums = rows.groupBy(*key, "stretch").agg(F.sum(size).alias("chars"), F.count("*").alias("turns"))
+    sums = rows.groupBy(*key, "stretch").agg(F.sum("size").alias("chars"), F.count("*").alias("turns"))
     earlier = Window.partitionBy(*key).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select(
         F.col("conv_id").alias("_c"),
@@ -56,18 +62,27 @@ def rotated(turns: DataFrame, stretch: int = STRETCH) -> DataFrame:
         F.coalesce(F.sum("turns").over(earlier), F.lit(0)).alias("turns_before"),
     )
     same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("perspective") == F.col("_p")) & (F.col("stretch") == F.col("_s"))
-    inside = Window.partitionBy(*key, "stretch").orderBy(F.col("turn").asc_nulls_first(), "speaker", "text")
-    through = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = F.col("chars_before") + F.sum(size).over(through)
-    return rows.join(before, same).select(
+    through = Window.partitionBy(*key, "stretch").orderBy("nth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.col("chars_before") + F.sum("size").over(through)
+    placed = rows.join(before, same).select(
+        F.col("conv_id").alias("_c"),
+        "perspective",
+        F.col("stretch").alias("_s"),
+        F.col("nth").alias("_n"),
+        (F.col("turns_before") + F.col("nth") - 1).alias("position"),
+        (last - F.col("chars") - len(END)).alias("first"),
+        last.alias("last"),
+    )
+    again = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("stretch") == F.col("_s")) & (F.col("nth") == F.col("_n"))
+    return said.join(placed, again).select(
         *key,
         "turn",
-        (F.col("turns_before") + F.row_number().over(inside) - 1).alias("position"),
+        "position",
         "speaker",
         (F.col("speaker") == F.col("perspective")).alias("learned"),
         F.concat(opening(F.col("speaker"), F.col("perspective")), F.col("text"), F.lit(END)).alias("segment"),
-        (last - F.length("text") - len(END)).alias("first"),
-        last.alias("last"),
+        "first",
+        "last",
     )
 
 
