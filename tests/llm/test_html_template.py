@@ -58,6 +58,7 @@ def test_blocks_and_references():
     assert one("<p>a &amp; b&nbsp;<b>c</b>d<br>e\n f<p>g</p>h") == "a & b cd e f\ng\nh"
     assert one("<article><h1>T</h1><nav>n</nav><p>x<aside>side</aside><div class='comments'>c</div><footer>f</footer></article><p>out") == "T\nx"
     assert one("<header>h</header><form>f</form><div class='cookie-notice'>c</div><p>x &lt;y&gt; &#233;") == "x <y> é"
+    assert one("<div id='site-header'>h</div><div class='post-header'>t</div><div class='add-on'>x</div><div class='ad-slot'>y</div>") == "t\nx"
     assert one("<p>1 < 2 <!-- no <p> --> done<style>p{}</style> <script>x</p></script>end") == "1 < 2 done\nend"
     assert one("<ul><li>a<li>b</ul><table><tr><td>c<td>d</table>") == "a\nb\nc\nd"
     assert one("") == one("<article></article>") == ""

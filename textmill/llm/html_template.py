@@ -46,8 +46,10 @@ ARTICLES = ("article", "main")
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion sidebar aside "
     "nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer cookie cookies consent notice gdpr popup "
-    "modal overlay newsletter subscribe signup comment comments respond disqus share sharing social related recommended widget toolbar".split()
+    "modal overlay newsletter subscribe signup comment comments commentlist respond replies reactions disqus share sharing social related "
+    "recommended widget toolbar topbar masthead alert adbox adslot".split()
 )
+SITE_HEADER = frozenset("header site page top main global".split())
 _SCOPES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -124,6 +126,7 @@ def pieces(html: str):
             continue
         named = sorted({w for m in _NAMES.finditer(found[3] or found[6] or "") for w in _PARTS.findall((m[1] or m[2] or m[3] or "").lower())})
         header = name == "header" and not any(n in ARTICLES for n, _, _ in stack)
+        header = header or "header" in named and SITE_HEADER.issuperset(named)
         noise = noisy() or name in SKIPPED or header or not NOISE.isdisjoint(named)
         if noise and name in ("html", "body", *ARTICLES) and not noisy():
             noise = False
