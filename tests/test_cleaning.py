@@ -13,6 +13,16 @@ from textmill.operators import documents
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮⑯⑰⑱"
 
 
+HAND = dict(line.split(" ", 1) for line in tables.ASCII_SPELLINGS.strip().splitlines())
+for first, names in (
+    ("Α", tables.GREEK_FROM_0391), ("α", tables.GREEK_FROM_03B1), ("Ѐ", tables.CYRILLIC_FROM_0400), ("א", tables.HEBREW_FROM_05D0),
+    ("ا", tables.ARABIC_FROM_0627), ("ف", tables.ARABIC_FROM_0641), ("ぁ", tables.KANA), ("ァ", tables.KANA),
+):
+    for k, name in enumerate(names.split()):
+        HAND[chr(ord(first) + k)] = name.replace(".", "")
+HAND["ー"] = "-"
+
+
 def model_char(char):
     if char in "\t\n" or " " <= char <= "~":
         return char
@@ -20,12 +30,11 @@ def model_char(char):
         (one, many) for many, one in tables.EMOJI_SENTINELS
     ):
         return char
-    hand = dict(line.split(" ", 1) for line in tables.ASCII_SPELLINGS.strip().splitlines())
-    if char in hand:
-        spelled = hand[char]
+    if char in HAND:
+        spelled = HAND[char]
     else:
         parts = unicodedata.normalize("NFKD", char)
-        spelled = "".join(hand.get(c, c) for c in parts if not unicodedata.combining(c))
+        spelled = "".join(HAND.get(c, c) for c in parts if not unicodedata.combining(c))
         if any(ord(c) > 127 for c in spelled):
             spelled = ""
     spelled = spelled.replace("--", "-")
@@ -58,6 +67,9 @@ CASES = [
     ("y — z -- w", "y - z -- w"),
     ("ñ ß í", "n ss i"),
     ("北", ""),
+    ("Привет, Ψυχή!", "Privet, Psukhe!"),
+    ("한국 값 뷁", "hangug gabs bwelg"),
+    ("トーキョー", "to-kiyo-"),
     ("a\x01b\x7f", "ab"),
     ("a  \nb", "a<|new_line|>b"),
     ("a \t\nb", "a <|new_line|>b"),

@@ -44,18 +44,9 @@ def grouped_class_body(points: Iterable[int]) -> str:
     return rf"[\x{{80}}-\x{{10FFFF}}&&[{inside}]]"
 
 
-def _parse_ranges(text: str) -> set[int]:
-    points: set[int] = set()
-    for item in text.split():
-        low, _, high = item.partition("-")
-        points.update(range(int(low, 16), int(high or low, 16) + 1))
-    return points
-
-
 #: Code points above ASCII that pass cleaning unchanged, sentinels not counted.
 ALLOWED_ABOVE_ASCII = frozenset(
-    _parse_ranges(tables.ALLOWED_EMOJI_RANGES)
-    | {ord(c) for c in tables.ALLOWED_LETTERS + tables.ALLOWED_SIGNS}
+    ord(c) for c in tables.ALLOWED_LETTERS + tables.ALLOWED_SIGNS + tables.ALLOWED_EMOJI
 )
 
 #: Single characters that stand for emoji sequences.
@@ -74,8 +65,5 @@ DROPPED_ANY = (
     f"[{_CONTROL_BODY}[\\x{{80}}-\\x{{10FFFF}}&&[^{grouped_class_body(PASSING_ABOVE_ASCII)}]]]"
 )
 
-#: The same set as one flat negated class, without intersections.
-DROPPED_ANY_FLAT = rf"[^\t\n\x20-\x7E{class_body(PASSING_ABOVE_ASCII)}]"
-
 #: One character that passes the filter.
 PASSING_ONE = rf"^[\t\n\x20-\x7E{class_body(PASSING_ABOVE_ASCII)}]$"

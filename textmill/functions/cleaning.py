@@ -97,8 +97,9 @@ def drop_unknown_characters(text: Column) -> Column:
 
 def fold_to_ascii(text: Column, folds: Mapping[str, str] | None = None) -> Column:
     """Spell characters outside the allowed set in ASCII (no deletion)."""
+    spelled = folding.spell_hangul(text) if folds is None else text
     folds = folding.default_folds() if folds is None else folds
-    return _fold_single(replace_where_marked(text, _long_folds(folds)), folds)
+    return _fold_single(replace_where_marked(spelled, _long_folds(folds)), folds)
 
 
 def _fold_single(text: Column, folds: Mapping[str, str]) -> Column:
@@ -132,8 +133,9 @@ def controls_to_tokens(text: Column, family: str = "tiktoken") -> Column:
 
 def allowed_text(text: Column, folds: Mapping[str, str] | None = None) -> Column:
     """Replace, fold and filter characters; blanks are left as they are."""
-    folds = folding.default_folds() if folds is None else folds
     no_return = drop_carriage_returns(text)
+    if folds is None:
+        folds, no_return = folding.default_folds(), folding.spell_hangul(no_return)
     # spellings are ASCII and their characters no table key, so one pass does all four
     pairs = (
         tables.SIGN_REPLACEMENTS

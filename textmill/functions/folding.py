@@ -6,6 +6,9 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from textmill import tables
 from textmill.functions.charsets import PASSING_ABOVE_ASCII
 
@@ -16,9 +19,48 @@ def _printable(text: str) -> str:
     return "".join(c for c in text if c in "\t\n" or " " <= c <= "~")
 
 
+def _from(first: int, spellings: str) -> dict[str, str]:
+    """Spellings of neighbouring characters; a point stands for nothing."""
+    return {chr(first + k): "" if s == "." else s for k, s in enumerate(spellings.split())}
+
+
 @lru_cache(maxsize=1)
 def _hand_spellings() -> dict[str, str]:
-    return dict(line.split(" ", 1) for line in tables.ASCII_SPELLINGS.strip().splitlines())
+    return {
+        **dict(line.split(" ", 1) for line in tables.ASCII_SPELLINGS.strip().splitlines()),
+        **_from(0x0391, tables.GREEK_FROM_0391),
+        **_from(0x03B1, tables.GREEK_FROM_03B1),
+        **_from(0x0400, tables.CYRILLIC_FROM_0400),
+        **_from(0x05D0, tables.HEBREW_FROM_05D0),
+        **_from(0x0627, tables.ARABIC_FROM_0627),
+        **_from(0x0641, tables.ARABIC_FROM_0641),
+        **_from(0x3041, tables.KANA),
+        **_from(0x30A1, tables.KANA),
+        "ー": "-",
+    }
+
+
+HANGUL = (0xAC00, 0xD7A3)
+
+
+def spell_hangul(text: Column) -> Column:
+    """Hangul syllables by their sounds, which the code point gives by arithmetic."""
+    first, middle, last = (
+        F.array(*[F.lit("" if s == "." else s) for s in part.split()])
+        for part in (tables.HANGUL_FIRST, tables.HANGUL_MIDDLE, tables.HANGUL_LAST)
+    )
+
+    def spelled(c: Column) -> Column:
+        place = F.ascii(c) - HANGUL[0]
+        sounds = F.concat(
+            F.get(first, F.floor(place / 588).cast("int")),
+            F.get(middle, (F.floor(place / 28) % 21).cast("int")),
+            F.get(last, (place % 28).cast("int")),
+        )
+        return F.when(F.ascii(c).between(*HANGUL), sounds).otherwise(c)
+
+    whole = F.array_join(F.transform(F.split(text, ""), spelled), "")
+    return F.when(text.rlike(r"[\x{AC00}-\x{D7A3}]"), whole).otherwise(text)
 
 
 def compatibility_spelling(char: str) -> str:
@@ -40,6 +82,8 @@ def fold_table(spell: Callable[[str], str] = compatibility_spelling) -> dict[str
     """
     table = {}
     for point in range(0x80, _LAST_DECOMPOSING + 1):
+        if HANGUL[0] <= point <= HANGUL[1]:
+            continue  # spelled by rule
         if point in PASSING_ABOVE_ASCII or 0xD800 <= point <= 0xDFFF:
             continue
         char = chr(point)
