@@ -70,11 +70,15 @@ def test_crowded_ids_are_spread_over_buckets(spark):
     assert all(a.hi < b.lo for a, b in zip(counts, counts[1:]))
 
 
-def test_more_buckets_than_quantiles(spark, monkeypatch):
-    monkeypatch.setattr(ordering, "MAX_QUANTILES", 4)
-    ids = spark.range(1_000).withColumnRenamed("id", "doc_id")
+def test_bounds_of_crowded_and_far_ids(spark):
+    """Cells with too many rows are counted again, over the whole range of a long."""
+    rows = [(i,) for i in range(1_000)] + [(-(2**63) + i,) for i in range(40)] + [(2**63 - 1,), (None,)]
+    ids = spark.createDataFrame(rows, "doc_id long")
+    bounds = ordering.range_bounds(ids, "doc_id", rows_per_bucket=25)
+    assert 40 <= len(bounds) <= 90 and bounds == sorted(bounds)
+    near = spark.range(1_000).withColumnRenamed("id", "doc_id")
     counts = (
-        ordering.with_range_bucket(ids, "doc_id", rows_per_bucket=25).groupBy("bucket").count()
+        ordering.with_range_bucket(near, "doc_id", rows_per_bucket=25).groupBy("bucket").count()
     ).collect()
     assert 36 <= len(counts) <= 41 and max(c["count"] for c in counts) <= 40
 

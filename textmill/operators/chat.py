@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import control
+from textmill.operators.ordering import null_safe_join
 
 ROLES = ("system", "user", "assistant", "human")
-TURNS_PER_PART = 4_096
+#: Turn numbers whose texts are put together in one task before the conversation is.
+STRETCH = 256
 
 
 def role_token(role: Column, family: str = "tiktoken") -> Column:
@@ -27,36 +29,42 @@ def render_conversations(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    turns_per_part: int = TURNS_PER_PART,
+    turns_per_part: int | None = None,
 ) -> DataFrame:
     """Role token and text of each turn in turn order: ``(conversation, part, text)``.
 
-    The first part opens with the start token and the last closes with the end token.
-    An ordinary conversation is one part, number 0. Longer ones come in parts of at most
-    ``turns_per_part`` turns that are put together in different tasks; the parts in order
-    are the conversation.
+    One row per conversation, part 0, whatever its length or turn numbers, with the start token before
+    and the end token after it: stretches of turns become text first, then the stretches in
+    order. Turns of equal number are ordered by their text, a null number comes first.
+
+    Only with ``turns_per_part`` a conversation comes in parts, cut where the turn number is a
+    multiple of it; the parts in order are the conversation.
     """
     token = control.spelling(family)
-    part = F.floor(F.col(turn) / turns_per_part)
-    ends = turns.groupBy(conversation).agg(
-        F.min(part).alias("_first"), F.max(part).alias("_last")
-    )
     spoken = F.concat(role_token(F.col(role), family), F.coalesce(F.col(text), F.lit("")))
-    parts = (
-        turns.withColumn("_part", part)
-        .groupBy(conversation, "_part")
-        .agg(F.sort_array(F.collect_list(F.struct(F.col(turn), spoken.alias("t")))).alias("s"))
-        .select(conversation, "_part", F.concat_ws("", F.col("s")["t"]).alias("_text"))
+
+    def in_order(place: str, value: Column) -> Column:
+        listed = F.sort_array(F.collect_list(F.struct(F.col(place), value.alias("t"))))
+        return F.concat_ws("", listed["t"])
+
+    stretch = F.floor(F.col(turn) / (turns_per_part or STRETCH))
+    stretches = (
+        turns.withColumn("_stretch", stretch)
+        .groupBy(conversation, "_stretch")
+        .agg(in_order(turn, spoken).alias("_text"))
+    )
+    start, end = F.lit(token["start_of_text"]), F.lit(token["end_of_text"])
+    if turns_per_part is None:
+        whole = F.concat(start, in_order("_stretch", F.col("_text")), end)
+        return stretches.groupBy(conversation).agg(F.lit(0).alias("part"), whole.alias("text"))
+    ends = turns.groupBy(conversation).agg(
+        F.min(stretch).alias("_first"), F.max(stretch).alias("_last")
     )
-    if ends.filter("_first != _last").isEmpty():
-        first = last = F.col("_part")
-    else:
-        parts = parts.join(ends, conversation)
-        first, last = F.col("_first"), F.col("_last")
-    opening = F.when(F.col("_part") == first, token["start_of_text"]).otherwise("")
-    closing = F.when(F.col("_part") == last, token["end_of_text"]).otherwise("")
+    parts = null_safe_join(stretches, ends, [conversation])
+    opening = F.when(F.col("_stretch").eqNullSafe(F.col("_first")), start).otherwise("")
+    closing = F.when(F.col("_stretch").eqNullSafe(F.col("_last")), end).otherwise("")
     return parts.select(
         conversation,
-        (F.col("_part") - first).cast("int").alias("part"),
+        (F.col("_stretch") - F.col("_first")).cast("int").alias("part"),
         F.concat(opening, "_text", closing).alias("text"),
     )

@@ -49,9 +49,10 @@ def document_at(
 def random_document(
     docs: DataFrame, seed: int | str = 0, family: str = "tiktoken", id_col: str = "doc_id"
 ) -> DataFrame:
-    """One wrapped document drawn by seed: each task keeps its best row only."""
-    drawn = docs.orderBy(ordering.hash_key(id_col, seed=seed), id_col).limit(1)
-    return drawn.withColumn("text", wrap_document(F.col("text"), family))
+    """One wrapped document drawn by seed; only ids are read to draw, then one id is looked up."""
+    drawn = docs.select(id_col).orderBy(ordering.hash_key(id_col, seed=seed), id_col).limit(1)
+    found = docs.filter(F.col(id_col) == drawn.scalar()).limit(1)
+    return found.withColumn("text", wrap_document(F.col("text"), family))
 
 
 def character_audit(docs: DataFrame, text: str = "text") -> DataFrame:

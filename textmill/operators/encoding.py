@@ -139,6 +139,9 @@ def _merge_udf(ranks: DataFrame):
     encoded once. The body imports what it needs, so executors do not have to have
     this package.
     """
+    size = ranks.agg(F.sum(F.octet_length("token") + 16).alias("bytes")).first()["bytes"] or 0
+    if size > V.BROADCAST_BYTES:
+        raise ValueError(f"a rank table of {size} bytes is too large for every task")
     found = ranks.select("token", "id").toArrow().to_pydict()
     table = dict(zip(found["token"], found["id"]))
     if len(table) != len(found["id"]):
@@ -212,16 +215,20 @@ def encode_with_ranks(
     family: str = "tiktoken",
     dictionary: DataFrame | None = None,
     partitioned: bool = False,
+    first_control_id: int | None = None,
 ) -> DataFrame:
     """Encode with a byte-pair rank table ``(token BINARY, id)``: ``(id_col, *keep, tokens)``.
 
     Pieces that are tokens, control tokens and the pieces of ``dictionary`` are
     found by a broadcast join. Only the other pieces go through byte-pair merges, in Arrow
     batches, where they occur: they are not shuffled, so a frequent one is no hot key.
-    Control ids follow the ranks.
+    Control ids begin at ``first_control_id``, by default after the ranks; give the number of ids of a
+    model whose own special tokens stand above its ranks.
     """
     keys = [id_col, *keep]
-    first = ranks_size(ranks)
+    first = ranks_size(ranks) if first_control_id is None else first_control_id
+    if first < ranks_size(ranks):
+        raise ValueError("control ids would take ids of ranks")
     controls = _control_rows(docs.sparkSession, first, family).select(
         "piece", F.array("id").alias("ids")
     )
@@ -292,6 +299,7 @@ def _spelled(
     family: str,
     first: int | None,
     partitioned: bool,
+    unknown: str,
 ) -> DataFrame:
     """Per document the ordered ``(pos, id, raw)`` of its tokens; ``raw`` is text of any bytes."""
     first = ranks_size(ranks) if first is None else first
@@ -299,7 +307,18 @@ def _spelled(
     rows = together.select(*keys, F.posexplode_outer(tokens).alias("pos", "id")).join(
         _token_table(ranks, first, family), "id", "left"
     )
-    spelled = rows.withColumn("raw", F.col("token").cast("string"))
+    if unknown not in ("raise", "replace"):
+        raise ValueError("unknown must be 'raise' or 'replace'")
+    refused = F.raise_error(
+        F.concat(F.lit("no token has the id "), F.col("id").cast("string"))
+    ).cast("string")
+    other = refused if unknown == "raise" else F.lit("\ufffd")
+    spelled = rows.withColumn(
+        "raw",
+        F.when(F.col("id").isNotNull() & F.col("token").isNull(), other).otherwise(
+            F.col("token").cast("string")
+        ),
+    )
     return spelled.groupBy(*keys).agg(_in_order("id", "raw").alias("parts"))
 
 
@@ -312,11 +331,15 @@ def decode(
     family: str = "tiktoken",
     first_control_id: int | None = None,
     partitioned: bool = False,
+    unknown: str = "raise",
 ) -> DataFrame:
-    """Token ids to text: ``(id_col, *keep, text)``. Broken UTF-8 becomes U+FFFD."""
+    """Token ids to text: ``(id_col, *keep, text)``. Broken UTF-8 becomes U+FFFD.
+
+    An id that is in no table stops the job, or reads U+FFFD with ``unknown="replace"``.
+    """
     keys = [id_col, *keep]
     joined = F.concat_ws("", F.col("parts")["raw"])
-    spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned)
+    spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned, unknown)
     return spelled.select(
         *keys, F.make_valid_utf8(joined).alias("text")
     )
@@ -331,10 +354,11 @@ def words(
     family: str = "tiktoken",
     first_control_id: int | None = None,
     partitioned: bool = False,
+    unknown: str = "raise",
 ) -> DataFrame:
     """Each token id with its own text: ``words ARRAY<STRUCT<id, word>>``.
 
-    A token that is only a part of a character reads U+FFFD.
+    A token that is only a part of a character reads U+FFFD; unknown ids as in :func:`decode`.
     """
     keys = [id_col, *keep]
     pairs = F.transform(
@@ -343,7 +367,7 @@ def words(
             part["id"].alias("id"), F.make_valid_utf8(part["raw"]).alias("word")
         ),
     )
-    spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned)
+    spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned, unknown)
     return spelled.select(
         *keys, pairs.alias("words")
     )

@@ -100,14 +100,19 @@ def shuffled_batches(
     epochs: int = tables.EPOCHS,
     batch_size: int = tables.BATCH_SIZE,
     seed: int | str = 0,
-    key: Sequence[str] = ("block",),
+    key: Sequence[str] = ("split", "block"),
+    within: Sequence[str] = ("split",),
     bucket_digits: int = 4,
 ) -> DataFrame:
     """Every example once per epoch, in a fresh random order: ``epoch, batch, slot``.
 
+    Batches are numbered inside each group of ``within``: training and validation never mix.
+    Columns of ``key`` and ``within`` that the table lacks are left out.
     The order is that of a hash of example, epoch and seed. Hash prefixes are the buckets
     of the numbering: 65,536 per epoch, of even size whatever the examples are.
     """
+    key = [c for c in key if c in examples.columns]
+    within = [c for c in within if c in examples.columns]
     order_key = ordering.hash_key(*key, "epoch", seed=seed)
     keyed = (
         examples.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
@@ -115,7 +120,7 @@ def shuffled_batches(
         .withColumn("_bucket", ordering.hash_bucket(F.col("_order"), bucket_digits))
     )
     numbered = ordering.row_index(
-        keyed, ["_order", *key], "_bucket", within=["epoch"], name="_row", few_buckets=True
+        keyed, ["_order", *key], "_bucket", within=[*within, "epoch"], name="_row", few_buckets=True
     )
     return numbered.select(
         *examples.columns,

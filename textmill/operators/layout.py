@@ -112,7 +112,7 @@ def offsets(
     # one row per split
     documents = docs.groupBy("split").agg(F.count(F.lit(1)).alias("_documents"))
     return (
-        placed.join(F.broadcast(documents), "split")
+        ordering.null_safe_join(placed, F.broadcast(documents), ["split"])
         .withColumn("_shards", shard_count(F.col("_documents"), max_shards))
         .withColumn(
             "shard", shard_of(F.col("row_index"), F.col("_documents"), F.col("_shards"))
@@ -142,16 +142,19 @@ def metadata(
     multiplier: float = tables.DEFAULT_MULTIPLIER,
     measure: str = "tokens",
 ) -> DataFrame:
-    """One row that describes a stored corpus; splits without rows have size 0."""
-    found = F.map_from_entries(F.collect_list(F.struct("split", measure)))
-    size = F.map_from_entries(
-        F.array(
-            *[
-                F.struct(F.lit(s), F.coalesce(F.col("_found")[s], F.lit(0).cast("long")))
-                for s in ("train", "val", "test")
-            ]
-        )
+    """One row that describes a stored corpus.
+
+    The splits ``train``, ``val`` and ``test`` are always in, with size 0 where they have no rows;
+    any other split follows with its own size. A null split is named by an empty text.
+    """
+    usual = ("train", "val", "test")
+    entry = F.struct(F.coalesce("split", F.lit("")), F.col(measure).cast("long"))
+    found = F.map_from_entries(F.sort_array(F.collect_list(entry)))
+    zero = F.lit(0).cast("long")
+    first = F.map_from_entries(
+        F.array(*[F.struct(F.lit(s), F.coalesce(F.col("_found")[s], zero)) for s in usual])
     )
+    size = F.map_concat(first, F.map_filter("_found", lambda split, _: ~split.isin(*usual)))
     return sizes.agg(found.alias("_found")).select(
         F.lit(training_part).alias("training_part"),
         F.lit(name).alias("name"),
@@ -166,13 +169,13 @@ def mix_report(docs: DataFrame, tokens: str = "size", source: str = "source") ->
         F.count(F.lit(1)).alias("_documents"),
         F.coalesce(F.sum(F.col(tokens).cast("long")), F.lit(0)).alias("_tokens"),
     )
-    # one row per source from here on
+    # the total is one value, so sources never meet in one task
     summed = per_source.rollup(source).agg(
         F.sum("_documents").alias("documents"),
         F.sum("_tokens").alias("tokens"),
         F.grouping(source).alias("_total"),
     )
-    everything = F.max(F.when(F.col("_total") == 1, F.col("tokens"))).over(Window.partitionBy())
+    everything = docs.agg(F.sum(F.col(tokens).cast("long"))).scalar()
     return summed.withColumn("_all", everything).select(
         F.when(F.col("_total") == 1, "Total").otherwise(F.col(source)).alias("source"),
         "documents",

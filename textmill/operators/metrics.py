@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill import tables
+from textmill.operators.ordering import null_safe_join
 
 # Fields of one record (fixed values), next to the run and its time stamp.
 FIELDS = [
@@ -26,6 +28,24 @@ RECORD_SCHEMA = (
 ITERATIONS_PER_BUCKET = 1_000_000
 
 
+def as_records(metrics: DataFrame) -> DataFrame:
+    """The nine fields with run and time stamp, in their types; fields that are missing are null."""
+    fields = T.StructType.fromDDL(RECORD_SCHEMA)
+    return metrics.select(
+        *[
+            (F.col(f.name) if f.name in metrics.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in fields
+        ]
+    )
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """The records of a metric table."""
+    return spark.read.schema(RECORD_SCHEMA).parquet(path)
+
+
 def append_metrics(records: DataFrame, path: str) -> None:
     """Add records to a metric table."""
     records.write.mode("append").parquet(path)
@@ -61,7 +81,7 @@ def with_elapsed(
     previous = F.lag(ts).over(Window.partitionBy(run, "_bucket").orderBy(iteration))
     # the join and the window share one partitioning
     return (
-        parts.join(handed, [run, "_bucket"])
+        null_safe_join(parts, handed, [run, "_bucket"])
         .withColumn("_previous", F.coalesce(previous, F.col("_before")))
         .withColumn(
             "elapsed", (_micros(ts) - _micros("_previous")) / F.lit(1e6)
@@ -92,7 +112,7 @@ def with_running_best(
     )
     kept = [c for c in records.columns if c != name]
     return (
-        parts.join(handed, [run, "_bucket"])
+        null_safe_join(parts, handed, [run, "_bucket"])
         .withColumn("_here", F.min(value).over(upto))
         .select(*kept, F.least("_here", "_before").alias(name))
     )

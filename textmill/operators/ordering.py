@@ -14,45 +14,61 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 65_536
-MAX_QUANTILES = 1_024
+CELLS = 65_536
+SPLIT_BITS = 8
 ROWS_PER_BUCKET = 250_000
 
 
+def range_bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
+    """Values of an integer column that cut it into buckets of about ``rows_per_bucket`` rows.
+
+    Rows are counted per cell of equal width, by an ordinary aggregate of at most ``CELLS`` groups;
+    only cells with more rows than a bucket are counted again in ``2 ** SPLIT_BITS`` parts, until none is
+    left or a cell is one value. No task gets more than such counts.
+    """
+    low, high, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if not rows or rows <= rows_per_bucket:
+        return []
+    bits = max(0, ((high - low) // CELLS).bit_length())
+
+    def cell(bits: int) -> Column:
+        """Number of a value's cell; cells of fewer bits lie inside those of more."""
+        return F.shiftright(F.col(key).cast("long"), bits)
+
+    counted, inside, counts = df.select(key), df.select(key), {}
+    while True:
+        found = inside.groupBy(cell(bits).alias("cell")).count().filter("cell IS NOT NULL").collect()
+        heavy = [r.cell for r in found if r["count"] > rows_per_bucket] if bits else []
+        again = set(heavy)
+        counts |= {r.cell << bits: r["count"] for r in found if r.cell not in again}
+        if not heavy:
+            break
+        # no more cells than there are full buckets
+        table = df.sparkSession.createDataFrame([(c,) for c in heavy], "heavy long")
+        inside = counted.join(F.broadcast(table), cell(bits) == F.col("heavy")).select(key)
+        bits = max(0, bits - SPLIT_BITS)
+    bounds, held = [], 0
+    for start in sorted(counts):
+        if held and held + counts[start] > rows_per_bucket:
+            bounds.append(start)
+            held = 0
+        held += counts[start]
+    return bounds
+
+
 def with_range_bucket(
-    df: DataFrame,
-    key: str,
-    bucket: str = "bucket",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
+    df: DataFrame, key: str, bucket: str = "bucket", rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
     """Add a bucket number that never falls as ``key`` (an integer column) rises.
 
-    Boundaries are quantiles of the key, found by one aggregate over that column and
-    fixed from then on, so every use of the result sees the same buckets, also when
-    tasks are run again. Up to 1,024 quantiles are taken; where more buckets are wanted the
-    ranges between them are cut evenly. At most ``max_buckets`` buckets exist.
+    The bounds are fixed before the column is made, so every use of the result sees the same buckets, also
+    when tasks are run again. There are as many buckets as the rows need. A null key is in bucket 0.
     """
-    rows = df.agg(F.count(key).alias("n")).first()["n"]
-    wanted = min(max_buckets, -(-rows // rows_per_bucket))
-    bounds: list[float] = []
-    if wanted > 1:
-        ranges = min(wanted, MAX_QUANTILES)
-        shares = [i / ranges for i in range(ranges + 1)]
-        quantiles = df.agg(F.percentile_approx(key, shares, 20 * MAX_QUANTILES).alias("q"))
-        edges = [float(q) for q in quantiles.first()["q"]]
-        steps = wanted // ranges
-        bounds = sorted(
-            {
-                low + (high - low) * step / steps
-                for low, high in zip(edges, edges[1:])
-                for step in range(steps)
-            }
-        )
+    bounds = range_bounds(df, key, rows_per_bucket)
     if not bounds:
         return df.withColumn(bucket, F.lit(0))
-    splits = [float("-inf"), *bounds, float("inf")]
-    keyed = df.withColumn("_bucket_key", F.col(key).cast("double"))
+    splits = [float("-inf"), *map(float, sorted({float(b) for b in bounds})), float("inf")]
+    keyed = df.withColumn("_bucket_key", F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))))
     numbered = Bucketizer(
         splits=splits, inputCol="_bucket_key", outputCol="_bucket_number"
     ).transform(keyed)
@@ -61,6 +77,17 @@ def with_range_bucket(
     )
 
 
+def null_safe_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on ``keys`` where null equals null, so that no row is lost; keys of ``left`` stay."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(renamed[f"_r_{k}"])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def running_totals(
     df: DataFrame,
     totals: Mapping[str, Column],
@@ -90,7 +117,7 @@ def running_totals(
             for name, v in values.items()
         ],
     )
-    joined = valued.join(F.broadcast(starts) if few_buckets else starts, keys)
+    joined = null_safe_join(valued, F.broadcast(starts) if few_buckets else starts, keys)
     before = (
         Window.partitionBy(*keys)
         .orderBy(*order)

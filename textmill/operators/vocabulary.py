@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill import tables
+from textmill.functions import control
 from textmill.functions import pieces as P
 
 BYTES = 256
@@ -15,17 +16,34 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def piece_counts(
-    docs: DataFrame, text: str = "text", pattern: str = "gpt2"
+    docs: DataFrame, text: str = "text", pattern: str = "gpt2", family: str = "tiktoken"
 ) -> DataFrame:
-    """How often each piece occurs. Counting starts before the shuffle, so a piece that
-    makes up most of the text costs no more than a rare one."""
+    """How often each piece occurs, control tokens of ``family`` left out.
+
+    The text is cut as encoding cuts it. Counting starts before the shuffle, so a piece
+    that makes up most of the text costs no more than a rare one.
+    """
+    cut = P.split_pieces_with_control(F.col(text), pattern, family)
     return (
-        docs.select(F.explode(P.split_pieces(F.col(text), pattern)).alias("piece"))
+        docs.select(F.explode(cut).alias("piece"))
+        .filter(~F.col("piece").isin(*control.spelling(family).values()))
         .groupBy("piece")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
 
 
+def _least(counts: DataFrame, room: int) -> int:
+    """A frequency that at least ``room`` pieces reach, and not many more: by counts per eighth of a doubling."""
+    step = F.floor(F.log2("occurrences") * 8).cast("int")
+    sizes = counts.filter("occurrences > 0").groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("occurrences").alias("least"))
+    total = 0
+    for r in sorted(sizes.collect(), key=lambda r: -r.step):
+        total += r.n
+        if total >= room:
+            return r.least
+    return 0
+
+
 def build_vocabulary(
     counts: DataFrame,
     size: int = tables.VOCABULARY_SIZE,
@@ -35,8 +53,9 @@ def build_vocabulary(
     """The most frequent pieces with their ids: ``(piece, occurrences, id)``.
 
     Ids 0 to 255 are the bytes, then come the pieces by frequency, and the control
-    tokens close the ``size`` ids. Forced pieces are always in. Only the wanted number of
-    rows leaves each task, so ranking works on a bounded set.
+    tokens close the ``size`` ids. Forced pieces are always in. Counts of frequencies tell which
+    frequency is needed at least, so that little more than the wanted number of rows is ranked. ``counts``
+    is read several times: give it stored.
     """
     room = size - BYTES - len(tables.READABLE_CONTROL)
     if room < len(forced):
@@ -48,7 +67,8 @@ def build_vocabulary(
         F.desc("occurrences"),
         F.col("piece"),
     ]
-    chosen = short.orderBy(*best).limit(room)
+    kept = short.filter((F.col("occurrences") >= _least(short, room)) | (best[0] == 0))
+    chosen = kept.orderBy(*best).limit(room)
     if forced:
         # at most `room` rows: add the forced pieces that do not occur, rank once more
         never = counts.sparkSession.range(1).select(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from textmill import tables
 from textmill.functions import cleaning, wiki
 from textmill.operators import documents, encoding, layout, vocabulary
+from textmill.session import stored
 from textmill.sources import corpus, token_store
 
 
@@ -48,22 +49,30 @@ def prepare_corpus(
     seed: int | str = 0,
     encyclopedia: bool = True,
     family: str = "tiktoken",
+    min_size: int = tables.MIN_DOCUMENT_SIZE,
+    keep_control_tokens: bool = False,
+    first_control_id: int | None = None,
 ) -> DataFrame:
     """Clean, split, encode and store a corpus; returns its token shards.
 
-    Encodes with ``ranks`` or with a vocabulary of whole pieces, built from the corpus if
+    ``min_size`` and ``keep_control_tokens`` go to the cleaning. ``first_control_id`` is for rank
+    tables whose model has special tokens of its own. Encodes with ``ranks`` or with a vocabulary of whole pieces, built from the corpus if
     none is given. The cleaned text is written once; every later step reads that.
     """
     spark = docs.sparkSession
-    clean = clean_documents(corpus.spread(docs), encyclopedia=encyclopedia, family=family)
+    clean = clean_documents(
+        corpus.spread(docs), encyclopedia, family, min_size, keep_control_tokens
+    )
     clean.write.mode("overwrite").parquet(f"{path}/clean")
     text = layout.exact_split(spark.read.parquet(f"{path}/clean"), ratio, seed)
     if ranks is not None:
-        encoded = encoding.encode_with_ranks(text, ranks, ["split"], family=family)
-        first = encoding.ranks_size(ranks)
+        first = encoding.ranks_size(ranks) if first_control_id is None else first_control_id
+        encoded = encoding.encode_with_ranks(
+            text, ranks, ["split"], family=family, first_control_id=first
+        )
     else:
         if vocab is None:
-            counts = vocabulary.piece_counts(text)
+            counts = stored(vocabulary.piece_counts(text, family=family), "piece_counts")
             vocab = vocabulary.build_vocabulary(counts, vocabulary_size)
             vocab.write.mode("overwrite").parquet(f"{path}/vocabulary")
             vocab = spark.read.parquet(f"{path}/vocabulary")

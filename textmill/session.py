@@ -34,17 +34,26 @@ def local_session(cores: int | str = "*", name: str = "textmill", **settings: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where none is set, as in tests, a temporary one is made and set.
+    Only where none is set, as in tests on one machine, a temporary one is made and set; a cluster without
+    the setting is refused, since its executors share no local folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="textmill-"))
     return context.getCheckpointDir()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table that several later steps read, and read it back.
 

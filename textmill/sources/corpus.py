@@ -50,8 +50,18 @@ def read_corpus(
 
 
 def union_corpora(*corpora: DataFrame) -> DataFrame:
-    """Several corpora as one; ids must not clash between them."""
-    return reduce(lambda left, right: left.unionByName(right), corpora)
+    """Several corpora as one, in the order given, with ids of their own.
+
+    The id of row ``i`` of corpus ``k`` of ``n`` becomes ``i * n + k``: ids of different corpora never
+    meet, need no pass over the data and keep the order of each corpus. An id that leaves the range of
+    a long stops the job.
+    """
+    n = len(corpora)
+    keyed = [
+        docs.withColumn("doc_id", F.col("doc_id").cast("long") * n + k)
+        for k, docs in enumerate(corpora)
+    ]
+    return reduce(lambda left, right: left.unionByName(right), keyed)
 
 
 def spread(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

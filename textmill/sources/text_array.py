@@ -13,20 +13,25 @@ def save_text_array(
 ) -> None:
     """Write the strings in ``pos`` order, one per line, over whatever ``path`` held.
 
-    The part files in name order are the array; each is written by its own task.
-    A string that holds a line feed comes back as several.
+    The part files by number are the array; each is written by its own task.
+    A string that holds a line feed comes back as several, and an empty array, whose
+    text is empty, as one empty string.
     """
-    in_order = array.repartitionByRange(F.col(pos)).sortWithinPartitions(pos)
-    in_order.select(F.coalesce(F.col(value), F.lit("")).alias("value")).write.mode(
-        "overwrite"
-    ).text(path, lineSep="\n")
+    lines = array.select(F.col(pos), F.coalesce(F.col(value), F.lit("")).alias("value"))
+    empty = array.agg(F.count(F.lit(1)) == 0).scalar()
+    none = array.sparkSession.range(1).filter(empty).select(
+        F.lit(0).cast(lines.schema[pos].dataType).alias(pos), F.lit("").alias("value")
+    )
+    in_order = lines.unionByName(none).repartitionByRange(F.col(pos)).sortWithinPartitions(pos)
+    in_order.select("value").write.mode("overwrite").text(path, lineSep="\n")
 
 
 def load_text_array(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, value)`` of a directory written by :func:`save_text_array`, any size.
 
-    Files are split among tasks. The position follows from file name, place of the split in
-    the file and row in the split; splits are the buckets of the numbering.
+    Files are split among tasks, and the lines stay where they are read: their position is
+    the row in the split plus the number of lines of all splits before, by the file's
+    number and place in the file. Only those sums, one row per split, are ordered, in two levels.
     """
     lines = spark.read.text(path, lineSep="\n").select(
         "value",
@@ -34,10 +39,20 @@ def load_text_array(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    numbered = lines.withColumn("_split", F.struct("_file", "_block"))
-    return ordering.row_index(numbered, ["_row"], "_split", name="pos").select(
-        F.col("pos").cast("long").alias("pos"), "value"
+    number = F.regexp_extract("_file", r"part-(\d+)", 1).try_cast("long")
+    splits = lines.groupBy("_file", "_block").agg(
+        F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first")
     )
+    placed = splits.withColumn("_stretch", F.floor(F.coalesce(number, F.lit(-1)) / 1_000))
+    starts = ordering.running_totals(
+        placed.withColumn("_number", number),
+        {"_before": F.col("_lines")},
+        order=["_number", "_file", "_block"],
+        bucket="_stretch",
+    ).select("_file", "_block", "_first", "_before")
+    joined = ordering.null_safe_join(lines, starts, ["_file", "_block"])
+    place = F.col("_before") + F.col("_row") - F.col("_first")
+    return joined.select(place.cast("long").alias("pos"), "value")
 
 
 def load_text_file(spark: SparkSession, path: str) -> DataFrame:

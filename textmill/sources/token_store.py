@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from textmill import tables
 from textmill.operators import layout, vocabulary
+from textmill.session import discard
 
 
 def write_shards(placed: DataFrame, path: str) -> None:
@@ -44,7 +46,7 @@ def save_corpus(
     """Store ``(doc_id, split, tokens, size)`` under ``path`` and return the shards.
 
     ``encoded`` is computed once, into ``encoded/``; index, shards and metadata are made
-    from there.
+    from there, and it is deleted when they are written.
     """
     spark = encoded.sparkSession
     encoded.select("doc_id", "split", "size", "tokens").write.mode("overwrite").parquet(
@@ -58,6 +60,7 @@ def save_corpus(
     write_metadata(
         layout.metadata(sizes, name, training_part, multiplier), f"{path}/metadata"
     )
+    discard(spark, f"{path}/encoded")
     return shards
 
 
@@ -82,9 +85,10 @@ def _raw_token_source() -> type[DataSource]:
     class RawTokenWriter(DataSourceArrowWriter):
         """Little-endian ids, one file per shard and task, moved into place on commit."""
 
-        def __init__(self, options):
+        def __init__(self, options, overwrite):
             import uuid
 
+            self.overwrite = overwrite
             self.path = options["path"].rstrip("/")
             self.dtype = options.get("dtype", "uint32")
             self.attempts = f"{self.path}/_attempts-{uuid.uuid4().hex}"
@@ -103,6 +107,9 @@ def _raw_token_source() -> type[DataSource]:
 
             import numpy as np
 
+            import pyarrow as pa
+            import pyarrow.compute as pc
+
             system, local = self._files()
             folder = f"{self.attempts}/{uuid.uuid4().hex}"
             system.create_dir(local(folder), recursive=True)
@@ -111,26 +118,35 @@ def _raw_token_source() -> type[DataSource]:
             place = stream = None
             with ExitStack() as stack:
                 for batch in iterator:
-                    split, shard, start, tokens = (
-                        batch.column(batch.schema.get_field_index(c))
-                        for c in ("split", "shard", "start", "tokens")
-                    )
-                    for row in range(batch.num_rows):
-                        here = (split[row].as_py(), shard[row].as_py())
+                    table = pa.Table.from_batches([batch]).combine_chunks()
+                    if not table.num_rows:
+                        continue
+                    split, shard = table["split"], table["shard"]
+                    # rows of one file stand together: where the file changes, a run ends
+                    changes = pc.or_(
+                        pc.not_equal(split.slice(1), split.slice(0, len(split) - 1)),
+                        pc.not_equal(shard.slice(1), shard.slice(0, len(shard) - 1)),
+                    ).to_numpy()
+                    begins = [0, *(np.flatnonzero(changes) + 1).tolist()]
+                    for begin, end in zip(begins, [*begins[1:], table.num_rows]):
+                        here = (split[begin].as_py(), shard[begin].as_py())
                         if here != place:
                             if stream is not None:
                                 stream.close()
                             place = here
                             made = f"{folder}/{len(written):08d}"
-                            final = f"{here[0]}/{here[1]:05d}-{start[row].as_py():020d}.bin"
-                            written.append((made, final))
+                            start = table["start"][begin].as_py()
+                            written.append((made, f"{here[0]}/{here[1]:05d}-{start:020d}.bin"))
                             stream = stack.enter_context(
                                 system.open_output_stream(local(made))
                             )
-                        ids = tokens[row].values.to_numpy(zero_copy_only=False)
-                        if len(ids) and (ids.max() > limit or ids.min() < 0):
-                            raise ValueError(f"token id does not fit {self.dtype}")
-                        stream.write(ids.astype(np.dtype(self.dtype).newbyteorder("<")).tobytes())
+                        rows = table["tokens"].slice(begin, end - begin)
+                        for chunk in rows.chunks:
+                            ids = chunk.flatten().to_numpy(zero_copy_only=False)
+                            if len(ids) and (ids.max() > limit or ids.min() < 0):
+                                raise ValueError(f"token id does not fit {self.dtype}")
+                            little = np.dtype(self.dtype).newbyteorder("<")
+                            stream.write(ids.astype(little).tobytes())
 
             class Written(WriterCommitMessage):
                 files = None
@@ -140,12 +156,26 @@ def _raw_token_source() -> type[DataSource]:
             return message
 
         def commit(self, messages):
+            from concurrent.futures import ThreadPoolExecutor
+
+            from pyarrow import fs
+
             system, local = self._files()
-            for message in messages:
-                for made, final in message.files if message is not None else []:
-                    target = f"{self.path}/{final}"
-                    system.create_dir(local(target.rsplit("/", 1)[0]), recursive=True)
-                    system.move(local(made), local(target))
+            if self.overwrite:  # what an earlier export left would be part of the stream
+                here = fs.FileSelector(local(self.path), allow_not_found=True)
+                for info in system.get_file_info(here):
+                    if info.type == fs.FileType.Directory and info.base_name[:10] != "_attempts-":
+                        system.delete_dir(info.path)
+            moves = [
+                (local(made), local(f"{self.path}/{final}"))
+                for message in messages
+                if message is not None
+                for made, final in message.files
+            ]
+            for folder in {target.rsplit("/", 1)[0] for _, target in moves}:
+                system.create_dir(folder, recursive=True)
+            with ThreadPoolExecutor(16) as pool:
+                list(pool.map(lambda move: system.move(*move), moves))
             self._drop_attempts(system, local)
 
         def abort(self, messages):
@@ -166,15 +196,24 @@ def _raw_token_source() -> type[DataSource]:
             return "split string, shard int, start bigint, tokens array<int>"
 
         def writer(self, schema, overwrite):
-            return RawTokenWriter(dict(self.options))
+            return RawTokenWriter(dict(self.options), overwrite)
 
     return RawTokens
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme of the default file system if it names none."""
+    if ":" in path.split("/")[0]:
+        return path
+    default = spark.conf.get("spark.hadoop.fs.defaultFS", "file:///").rstrip("/")
+    return path if default in ("", "file:") else f"{default}{path}"
+
+
 def export_raw(placed: DataFrame, path: str, dtype: str | None = None) -> str:
     """Write plain token files ``<split>/<shard>-<start>.bin``; returns the id type.
 
-    The files of a split in name order are its token stream. Without ``dtype`` the
+    The files of a split in name order are its token stream; they replace those of an earlier
+    export. A path without a scheme belongs to the cluster's default file system. Without ``dtype`` the
     narrowest type that holds every id is taken; one that is too narrow is refused.
     """
     width = vocabulary.id_width(placed).first()
@@ -189,5 +228,29 @@ def export_raw(placed: DataFrame, path: str, dtype: str | None = None) -> str:
     rows = placed.select("split", "shard", "start", "tokens")
     rows.repartitionByRange("split", "start").sortWithinPartitions("split", "start").write.format(
         "raw_tokens"
-    ).mode("append").option("dtype", dtype).save(path)
+    ).mode("overwrite").option("dtype", dtype).save(_qualified(spark, path))
     return dtype
+
+
+def read_raw(spark: SparkSession, path: str, dtype: str = "uint16") -> DataFrame:
+    """``(split, start, tokens)`` of the files of :func:`export_raw`: one row for each file.
+
+    ``start`` is the place of the file's first token in the stream of its split.
+    """
+    if dtype not in ("uint16", "uint32"):
+        raise ValueError("dtype must be uint16 or uint32")
+    width = 2 if dtype == "uint16" else 4
+    files = spark.read.format("binaryFile").load(f"{path}/*/*.bin")
+
+    def number(i):
+        # the bytes of an id come lowest first
+        own = [F.hex(F.substring("content", i * width + k, F.lit(1))) for k in range(width, 0, -1)]
+        return F.conv(F.concat(*own), 16, 10).cast("long")
+
+    count = (F.length("content") / width).cast("int")
+    tokens = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), number)).otherwise(F.array().cast("array<bigint>"))
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)/\d+-\d+\.bin$", 1).alias("split"),
+        F.regexp_extract("path", r"/\d+-(\d+)\.bin$", 1).cast("long").alias("start"),
+        tokens.alias("tokens"),
+    )
