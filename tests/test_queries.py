@@ -12,7 +12,6 @@ from textmill.registry import oracle, queries
 SMALL = "/root/testdata/sf0.001"
 QUERIES = queries.QUERIES  # those of optional packages have tests of their own
 SQL = oracle.sql()
-NO_SQL = {"encode_ranks"}  # byte-pair merges: compared with tiktoken in test_tokens
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +32,7 @@ def rows(table, columns):
 
 
 def test_names():
-    assert set(SQL) == set(QUERIES) - NO_SQL
+    assert set(SQL) == set(QUERIES)
     assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 import re
 
 from textmill import tables
-from textmill.functions import charsets
 from textmill.registry.decoration import DECORATIONS
 from textmill.registry.queries import SEED, VOCAB
 
@@ -24,6 +23,18 @@ SPELLINGS = {
 }
 
 
+# words of other scripts that are put into the tables, letter by letter
+SCRIPTS = [
+    ("Москва", "Moskva"), ("щука", "shchuka"), ("й", "i"), ("Αθήνα", "Athena"), ("ひらがな", "hiragana"), ("カタカナ", "katakana"),
+    ("한글", "hangeul"), ("값", "gabs"), ("שלום", "SHlvm"), ("سلم", "slm"),
+]
+
+# characters that pass, one by one as listed, for a class of this engine
+PASSING = "\t\n -~" + "".join(
+    tables.ALLOWED_LETTERS + tables.ALLOWED_SIGNS + tables.ALLOWED_EMOJI
+) + "".join(one for _, one in tables.EMOJI_SENTINELS)
+
+
 def text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -35,7 +46,7 @@ def replaces(expr: str, pairs) -> str:
 
 
 def drop(expr: str) -> str:
-    return f"regexp_replace({expr}, {text(charsets.DROPPED_ANY_FLAT)}, '', 'g')"
+    return f"regexp_replace({expr}, {text(f'[^{PASSING}]')}, '', 'g')"
 
 
 def tidy(expr: str) -> str:
@@ -119,12 +130,13 @@ def pieces(relation: str, cut=cut2) -> str:
         FROM (SELECT doc_id, {cut('text')} AS ps FROM {relation})"""
 
 
-def vocabulary(size: int) -> str:
-    """CTEs ``raw_pieces`` and ``vocab`` of the documents."""
-    return f"""raw_pieces AS ({pieces('documents')}),
+def vocabulary(size: int, relation: str = "documents") -> str:
+    """CTEs ``raw_pieces`` and ``vocab`` of the texts of a relation."""
+    return f"""raw_pieces AS ({pieces(relation)}),
     counted AS (
         SELECT piece, sum(n)::BIGINT AS n FROM (
-            SELECT piece, count(*) AS n FROM raw_pieces WHERE strlen(piece) <= 32 GROUP BY piece
+            SELECT piece, count(*) AS n FROM raw_pieces
+            WHERE strlen(piece) <= 32 AND piece NOT IN ({', '.join(map(text, CONTROL.values()))}) GROUP BY piece
             UNION ALL SELECT 'AI', 0)
         GROUP BY piece ORDER BY (piece = 'AI') DESC, n DESC, piece LIMIT {size - 266}),
     vocab AS (
@@ -142,9 +154,9 @@ BYTES = (
 )
 
 
-def tokens(relation: str = "documents", missing: str = BYTES) -> str:
+def tokens(relation: str = "documents", missing: str = BYTES, learned: str = "documents") -> str:
     """CTE ``token``: ``doc_id, pos, j, id`` in byte mode."""
-    return f"""{vocabulary(VOCAB)},
+    return f"""{vocabulary(VOCAB, learned)},
     known AS (SELECT piece, id FROM vocab UNION ALL
         SELECT col2, col3 FROM (VALUES {CONTROL_ROWS}) AS c(col0, col1, col2, col3)),
     found AS (
@@ -156,11 +168,11 @@ def tokens(relation: str = "documents", missing: str = BYTES) -> str:
             unnest(range(len(ids)))::INTEGER AS j, len(ids) AS n FROM found)"""
 
 
-def split(ratio: float) -> str:
+def split(ratio: float, relation: str = "documents") -> str:
     return f"""SELECT doc_id, source, text,
         CASE WHEN row_number() OVER (ORDER BY md5(doc_id || '-{SEED}'), doc_id)
             <= ceil(count(*) OVER () * {ratio}::DOUBLE) THEN 'val' ELSE 'train' END AS split
-        FROM documents"""
+        FROM {relation}"""
 
 
 def token_lists(relation: str = "documents", missing: str = BYTES, extra: str = "") -> str:
@@ -168,16 +180,49 @@ def token_lists(relation: str = "documents", missing: str = BYTES, extra: str =
     listed AS (SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY pos, j) AS tokens
         FROM token GROUP BY doc_id)
     SELECT doc_id, coalesce(tokens, '') AS tokens
-    FROM (SELECT doc_id FROM documents) LEFT JOIN listed USING (doc_id)"""
-
-
-# CTEs up to ``whole``: tokens with both ends, their split and stream position ``g``
-STREAM = f"""{tokens()},
-    parted AS ({split(0.1)}),
+    FROM (SELECT doc_id FROM {relation}) LEFT JOIN listed USING (doc_id)"""
+
+
+WHOLE_RANKS = """ranks AS (
+        SELECT hex(piece) AS t, id FROM vocab WHERE strlen(piece) > 1
+        UNION ALL SELECT printf('%02X', i), i::INTEGER FROM range(256) AS r(i))"""
+PREFIX_RANKS = """prefixes AS (
+        SELECT DISTINCT piece[:n] AS piece
+        FROM (SELECT piece, unnest(range(2, length(piece) + 1)) AS n FROM vocab WHERE id < 856)),
+    ranks AS (
+        SELECT hex(piece) AS t, (255 + row_number() OVER (ORDER BY strlen(piece), piece))::INTEGER AS id FROM prefixes
+        UNION ALL SELECT printf('%02X', i), i::INTEGER FROM range(256) AS r(i))"""
+
+
+def merged_tokens(ranks: str) -> str:
+    """Byte-pair merges by recursion: in every distinct piece the lowest-ranked pair becomes one part."""
+    return f"""WITH RECURSIVE {vocabulary(VOCAB)}, {ranks},
+    cut AS ({pieces('documents')}),
+    step(piece, parts) AS (
+        SELECT piece, regexp_extract_all(hex(piece), '..') FROM (SELECT DISTINCT piece FROM cut)
+        UNION ALL
+        SELECT s.piece, list_concat(list_concat(s.parts[:b.i - 1], [s.parts[b.i] || s.parts[b.i + 1]]), s.parts[b.i + 2:])
+        FROM step AS s JOIN (
+            SELECT piece, min({{'r': r.id, 'i': i}})['i'] AS i
+            FROM (SELECT piece, parts, unnest(range(1, len(parts))) AS i FROM step) AS p
+            JOIN ranks AS r ON r.t = p.parts[p.i] || p.parts[p.i + 1] GROUP BY piece) AS b USING (piece)),
+    last AS (
+        SELECT piece, CASE WHEN hex(piece) IN (SELECT t FROM ranks) THEN [hex(piece)] ELSE arg_min(parts, len(parts)) END AS parts
+        FROM step GROUP BY piece),
+    spelled AS (
+        SELECT piece, string_agg(id::VARCHAR, ' ' ORDER BY j) AS ids
+        FROM (SELECT piece, unnest(parts) AS t, unnest(range(len(parts))) AS j FROM last) JOIN ranks USING (t) GROUP BY piece)
+    SELECT doc_id, string_agg(ids, ' ' ORDER BY pos) AS tokens FROM cut JOIN spelled USING (piece) GROUP BY doc_id"""
+
+
+def stream(relation: str = "documents") -> str:
+    """CTEs up to ``whole``: tokens with both ends, their split and stream position ``g``."""
+    return f"""{tokens(relation, learned=relation)},
+    parted AS ({split(0.1, relation)}),
     ended AS (
         SELECT doc_id, pos, j, id FROM token
-        UNION ALL SELECT doc_id, -1, 0, {FIRST_CONTROL + 2} FROM documents
-        UNION ALL SELECT doc_id, 2000000000, 0, {FIRST_CONTROL + 9} FROM documents),
+        UNION ALL SELECT doc_id, -1, 0, {FIRST_CONTROL + 2} FROM {relation}
+        UNION ALL SELECT doc_id, 2000000000, 0, {FIRST_CONTROL + 9} FROM {relation}),
     whole AS (
         SELECT split, doc_id, pos, j, id,
             row_number() OVER (PARTITION BY split ORDER BY doc_id, pos, j) - 1 AS g
@@ -187,6 +232,9 @@ STREAM = f"""{tokens()},
             string_agg(id::VARCHAR, ' ' ORDER BY g) AS tokens
         FROM whole GROUP BY split, doc_id)"""
 
+
+STREAM = stream()
+
 SHARDS = "CASE " + " ".join(
     f"WHEN n > {1024 >> i} THEN {1024 >> i}" for i in range(11)
 ) + " ELSE 1 END"
@@ -275,6 +323,8 @@ def sql() -> dict[str, str]:
             UNION ALL SELECT printf('%02X', i), i::INTEGER FROM range(256) AS r(i)""",
         "token_shards": f"""WITH {STREAM}
             SELECT split, shard, doc_id, start, size, tokens FROM ({sharded('stored')})""",
+        "raw_tokens_read_back": f"""WITH {STREAM}, {XS}
+            SELECT split, block::BIGINT AS block, array_to_string(x, ' ') AS x FROM xs""",
         "offset_index": f"WITH {STREAM} SELECT split, doc_id, start, size FROM stored",
         "corpus_metadata": f"""WITH {STREAM}
             SELECT 'pretraining' AS training_part, 'wikipedia' AS name,
@@ -287,6 +337,7 @@ def sql() -> dict[str, str]:
         "encode_emoji": per_text("emoji", lambda e: replaces(e, tables.EMOJI_SENTINELS)),
         "drop_unknown_characters": per_text("unknown", drop),
         "fold_to_ascii": per_text("folds", lambda e: replaces(e, SPELLINGS.items())),
+        "fold_other_scripts": per_text("scripts", lambda e: replaces(e, [*SCRIPTS, *SPELLINGS.items()])),
         "allowed_text": per_text("everything", allowed),
         "tidy_blanks": per_text("blanks", tidy),
         "strip_text": per_text(
@@ -314,7 +365,7 @@ def sql() -> dict[str, str]:
         "clean_wiki": per_text("wiki", wiki),
         "wiki_then_clean": per_text("wiki", lambda e: clean(wiki(e))),
         "character_audit": f"""SELECT character, count(*) AS occurrences,
-                regexp_matches(character, {text(charsets.PASSING_ONE)}) AS authorized
+                regexp_matches(character, {text(f'^[{PASSING}]$')}) AS authorized
             FROM (SELECT unnest(regexp_extract_all(
                 {replaces('text', DECORATIONS['everything'])}, '(?s).')) AS character FROM documents)
             GROUP BY character""",
@@ -337,6 +388,17 @@ def sql() -> dict[str, str]:
         "pieces_join_to_text": "SELECT doc_id, text AS gpt2, text AS gpt4 FROM documents",
         "vocabulary_table": f"""WITH {vocabulary(tables.VOCABULARY_SIZE)}
             SELECT piece, occurrences, id FROM vocab""",
+        "vocabulary_of_clean_text": f"""WITH cleaned AS (SELECT doc_id, {clean('text')} AS text FROM documents),
+            {vocabulary(VOCAB, 'cleaned')} SELECT piece, occurrences, id FROM vocab""",
+        "union_tokens": token_lists("both_corpora", extra="""both_corpora AS (SELECT doc_id * 2 AS doc_id, text FROM documents
+            UNION ALL SELECT page_id * 2 + 1, html FROM pages), """),
+        "prepared_corpus": f"""WITH cleaned AS (
+                SELECT doc_id, source, {clean('tight')} AS text FROM (SELECT doc_id, source, {wiki('text')} AS tight FROM documents)
+                WHERE length(trim(tight, {text(space)})) >= 500),
+            {stream('cleaned')}
+            SELECT split, shard, doc_id, start, size, tokens FROM ({sharded('stored')})""",
+        "encode_ranks": merged_tokens(WHOLE_RANKS),
+        "encode_merged_ranks": merged_tokens(PREFIX_RANKS),
         "encode_bytes": token_lists(),
         "encode_clean_text": token_lists(
             "cleaned", extra=f"cleaned AS (SELECT doc_id, {clean('text')} AS text FROM documents), "
@@ -386,10 +448,10 @@ def sql() -> dict[str, str]:
                 len(list_filter(y, lambda t: t <> {PADDING}))::INTEGER AS counted FROM xy""",
         "shuffled_batches": f"""WITH {STREAM}, {XS},
             ordered AS (
-                SELECT e.epoch, block, x, row_number() OVER (PARTITION BY e.epoch
-                    ORDER BY md5(block || '-' || e.epoch || '-{SEED}'), block) - 1 AS rn
-                FROM xy, (VALUES (0), (1)) AS e(epoch) WHERE split = 'train')
-            SELECT epoch, (rn // 128)::BIGINT AS batch, (rn % 128)::INTEGER AS slot, block,
+                SELECT split, e.epoch, block, x, row_number() OVER (PARTITION BY split, e.epoch
+                    ORDER BY md5(split || '-' || block || '-' || e.epoch || '-{SEED}'), block) - 1 AS rn
+                FROM xy, (VALUES (0), (1)) AS e(epoch))
+            SELECT split, epoch, (rn // 128)::BIGINT AS batch, (rn % 128)::INTEGER AS slot, block,
                 array_to_string(x, ' ') AS x FROM ordered""",
         "render_conversations": f"""SELECT conv_id, 0::INTEGER AS part, {rendered(CONTROL)} AS text
             FROM conversations GROUP BY conv_id""",
@@ -405,7 +467,13 @@ def sql() -> dict[str, str]:
                 || CASE WHEN p = hi THEN {text(custom['end_of_text'])} ELSE '' END AS text
             FROM parts JOIN ends USING (conv_id)""",
         "metric_records": f"""WITH {RECORDS}
-            SELECT run, iter, tokens, epochs, loss, val_loss FROM records""",
+            SELECT run, epoch_us(ts) / 1000000.0::DOUBLE AS time, iter, tokens, epochs, 1 / (1 + abs(loss)) AS accuracy,
+                loss, 1 / (1 + abs(val_loss)) AS val_accuracy, val_loss,
+                min(val_loss) OVER (PARTITION BY run ORDER BY iter) AS best_val_loss FROM records""",
+        "metric_records_with_gaps": f"""WITH {RECORDS}, lost AS (
+                SELECT CASE WHEN iter % 7 <> 3 THEN run END AS run, CASE WHEN iter % 11 <> 5 THEN iter END AS iter
+                FROM records)
+            SELECT run, count(*) AS saves, count(iter) AS numbered FROM lost GROUP BY run""",
         "metric_elapsed": f"""WITH {RECORDS}
             SELECT run, iter, (epoch_us(ts) - epoch_us(lag(ts) OVER
                 (PARTITION BY run ORDER BY iter))) / 1000000.0::DOUBLE AS elapsed FROM records""",

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.registry.decoration import DECORATIONS
@@ -23,6 +23,7 @@ from textmill.operators import (
     ordering,
     vocabulary,
 )
+from textmill.plans import prepare
 from textmill.session import shared_folder, stored
 from textmill.sources import corpus, ranks, text_array, token_store
 
@@ -90,6 +91,19 @@ def corpus_union(spark, sf):
     )
 
 
+@query
+def union_tokens(spark, sf):
+    """Two corpora whose ids overlap, encoded together: no document meets another."""
+    both = corpus.union_corpora(
+        _read(spark, sf),
+        corpus.read_corpus(
+            spark, f"{sf}/pages.parquet", source="pages", text_col="html", id_col="page_id"
+        ),
+    )
+    encoded = encoding.encode_with_vocabulary(both, _vocabulary(_documents(spark, sf)), VOCAB)
+    return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
+
+
 @query
 def text_array_round_trip(spark, sf):
     path = _folder(spark, "lines")
@@ -136,6 +150,21 @@ def token_shards(spark, sf):
     )
 
 
+@query
+def raw_tokens_read_back(spark, sf):
+    """Plain token files, read as bytes: blocks of 64 ids of each split's stream."""
+    shards, _ = _saved(spark, sf, max_shards=8)
+    path = _folder(spark, "raw")
+    dtype = token_store.export_raw(shards, path)
+    ids = token_store.read_raw(spark, path, dtype).select(
+        "split", "start", F.posexplode("tokens").alias("i", "id")
+    )
+    place = F.col("start") + F.col("i")
+    listed = F.sort_array(F.collect_list(F.struct(place.alias("g"), "id")))
+    blocks = ids.groupBy("split", F.floor(place / 64).alias("block")).agg(listed.alias("s"))
+    return blocks.select("split", "block", F.concat_ws(" ", F.col("s")["id"].cast("array<string>")).alias("x"))
+
+
 @query
 def offset_index(spark, sf):
     _, path = _saved(spark, sf, max_shards=8)
@@ -188,6 +217,11 @@ def fold_to_ascii(spark, sf):
     return _texts(spark, sf, "folds", cleaning.fold_to_ascii)
 
 
+@query
+def fold_other_scripts(spark, sf):
+    return _texts(spark, sf, "scripts", cleaning.fold_to_ascii)
+
+
 @query
 def allowed_text(spark, sf):
     return _texts(spark, sf, "everything", cleaning.allowed_text)
@@ -353,13 +387,39 @@ def pieces_join_to_text(spark, sf):
 
 
 def _vocabulary(docs: DataFrame, size: int = VOCAB) -> DataFrame:
-    return stored(vocabulary.build_vocabulary(vocabulary.piece_counts(docs), size), "vocabulary")
+    return stored(vocabulary.build_vocabulary(_counts(docs), size), "vocabulary")
+
+
+def _counts(docs: DataFrame) -> DataFrame:
+    return stored(vocabulary.piece_counts(docs), "piece_counts")
 
 
 @query
 def vocabulary_table(spark, sf):
-    counts = vocabulary.piece_counts(_documents(spark, sf))
-    return vocabulary.build_vocabulary(counts)
+    return vocabulary.build_vocabulary(_counts(_documents(spark, sf)))
+
+
+@query
+def vocabulary_of_clean_text(spark, sf):
+    """No part of a control token is a piece."""
+    return vocabulary.build_vocabulary(_counts(_clean(spark, sf)), VOCAB)
+
+
+@query
+def prepared_corpus(spark, sf):
+    """From raw documents to token shards: clean, filter, split, vocabulary, encode, place, store."""
+    shards = prepare.prepare_corpus(
+        _read(spark, sf),
+        _folder(spark, "prepared"),
+        "wikipedia",
+        vocabulary_size=VOCAB,
+        ratio=0.1,
+        seed=SEED,
+        min_size=500,
+    )
+    return shards.select(
+        "split", "shard", "doc_id", "start", "size", F.concat_ws(" ", "tokens").alias("tokens")
+    )
 
 
 def _clean(spark, sf) -> DataFrame:
@@ -420,11 +480,24 @@ def _rank_table(spark, sf) -> DataFrame:
 
 @query
 def encode_ranks(spark, sf):
-    """Byte-pair merges for pieces outside the rank table; no SQL equivalent."""
+    """Byte-pair merges for pieces outside the rank table."""
     encoded = encoding.encode_with_ranks(_read(spark, sf), _rank_table(spark, sf))
     return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
 
 
+@query
+def encode_merged_ranks(spark, sf):
+    """Ranks of word beginnings: most pieces are made by merges, and few are ranks themselves."""
+    vocab = _vocabulary(_documents(spark, sf)).filter("id < 856")
+    prefix = F.expr("explode(transform(sequence(2, greatest(2, length(piece))), n -> left(piece, n)))")
+    short = vocab.filter(F.length("piece") >= 2).select(prefix.alias("piece")).distinct()
+    rank = F.row_number().over(Window.orderBy(F.octet_length("piece"), "piece"))  # of 600 pieces
+    numbered = short.select("piece", (rank + 255).cast("int").alias("id"))
+    table = stored(encoding.vocabulary_ranks(numbered), "ranks")
+    encoded = encoding.encode_with_ranks(_read(spark, sf), table)
+    return encoded.select("doc_id", F.concat_ws(" ", "tokens").alias("tokens"))
+
+
 @query
 def encode_decode_ranks(spark, sf):
     docs = _clean(spark, sf)
@@ -544,9 +617,8 @@ def padded_examples(spark, sf):
 
 @query
 def shuffled_batches(spark, sf):
-    train = _examples(spark, sf).filter("split = 'train'")
-    batches = examples.shuffled_batches(train, epochs=2, seed=SEED)
-    return _joined(batches.select("epoch", "batch", "slot", "block", "x"), "x")
+    batches = examples.shuffled_batches(_examples(spark, sf), epochs=2, seed=SEED)
+    return _joined(batches.select("split", "epoch", "batch", "slot", "block", "x"), "x")
 
 
 @query
@@ -590,10 +662,32 @@ def _records(spark, sf) -> DataFrame:
 @query
 def metric_records(spark, sf):
     path = _folder(spark, "metrics")
-    records = _records(spark, sf)
+    scored = _records(spark, sf).withColumns(
+        {
+            "time": F.unix_micros("ts") / F.lit(1e6),
+            "accuracy": 1 / (1 + F.abs("loss")),
+            "val_accuracy": 1 / (1 + F.abs("val_loss")),
+        }
+    )
+    records = metrics.as_records(metrics.with_running_best(scored))
     metrics.append_metrics(records.filter("epochs = 0"), path)
-    metrics.append_metrics(records.filter("epochs > 0"), path)
-    return spark.read.parquet(path).select("run", "iter", "tokens", "epochs", "loss", "val_loss")
+    metrics.append_metrics(records.filter("NOT (epochs <=> 0)"), path)
+    return metrics.read_metrics(spark, path).drop("ts")
+
+
+@query
+def metric_records_with_gaps(spark, sf):
+    """Records whose run or iteration is missing stay rows like any other."""
+    lost = _records(spark, sf).withColumns(
+        {
+            "run": F.when(F.col("iter") % 7 != 3, F.col("run")),
+            "iter": F.when(F.col("iter") % 11 != 5, F.col("iter")),
+        }
+    )
+    timed = metrics.with_elapsed(metrics.with_running_best(lost, per_bucket=16), per_bucket=16)
+    return timed.groupBy("run").agg(
+        F.count(F.lit(1)).alias("saves"), F.count("iter").alias("numbered")
+    )
 
 
 @query
