@@ -102,3 +102,10 @@ def test_second_export_replaces_the_first(spark, tmp_path):
 def test_random_document_reads_only_ids_to_draw(spark, docs):
     frame = documents.random_document(docs, seed=3)
     assert frame.count() == 1 and frame.first().doc_id == documents.random_document(docs, seed=3).first().doc_id
+
+
+def test_partitions_follow_the_size_of_the_input(spark, docs, monkeypatch):
+    few = corpus.by_document(docs).rdd.getNumPartitions()
+    monkeypatch.setattr(corpus, "BYTES_PER_PARTITION", 10_000)
+    many = corpus.by_document(docs).rdd.getNumPartitions()
+    assert few == 8 < many

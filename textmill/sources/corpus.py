@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FORMATS = ("parquet", "json", "orc", "text")
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 55  # an estimate beyond this says that the size is not known
 
 
 def read_corpus(
@@ -78,12 +80,16 @@ def spread(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Partition by document id, so that steps that regroup documents find rows in place.
 
-    The number is fixed, ``spark.sql.shuffle.partitions`` or more: work on text is heavy
-    for its bytes, and partitions merged by size alone would leave cores idle.
+    The number follows the input's size, ``BYTES_PER_PARTITION`` each by the optimizer's estimate, and is
+    not below the session's: work on text is heavy for its bytes, and partitions merged by
+    size alone would leave cores idle.
     """
     spark = docs.sparkSession
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = -(-size // BYTES_PER_PARTITION) if size < UNKNOWN_BYTES else 0
     partitions = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
         spark.sparkContext.defaultParallelism,
+        wanted,
     )
     return docs.repartition(partitions, id_col)
