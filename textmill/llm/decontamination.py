@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmill.functions.binding import once
 from textmill.llm import words
 from textmill.session import stored
 
@@ -40,8 +41,8 @@ def item_words(text: Column) -> Column:
 def item_windows(items: DataFrame, n: int = N) -> DataFrame:
     """``(window, length, items)``: each distinct window once, words joined by one space."""
     listed = items.select(F.col("item_id").cast("string").alias("item"), item_words(F.col("text")).alias("w"))
-    last = F.greatest(F.size("w") - n, F.lit(0))
-    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("w", i + 1, n), " "))
+    places = lambda w: F.sequence(F.lit(0), F.greatest(F.size(w) - n, F.lit(0)))
+    cut = once(F.col("w"), lambda w: F.transform(places(w), lambda i: F.array_join(F.slice(w, i + 1, n), " ")))
     return (
         listed.filter(F.size("w") > 0)
         .select("item", F.least(F.size("w"), F.lit(n)).alias("length"), F.explode(cut).alias("window"))

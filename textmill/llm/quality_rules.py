@@ -59,8 +59,10 @@ def measured(docs: DataFrame) -> DataFrame:
     """The documents with ``_w`` (their words) and the counts that the rules use."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    windows = F.transform(
-        F.sequence(F.lit(1), F.size("_w") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_w", i, WINDOW))
+    # bound once: a filter on a result may be pushed below, and must not cut the text anew for each window
+    windows = once(
+        F.col("_w"),
+        lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(w, i, WINDOW))),
     )
     none = F.array().cast("array<bigint>")
     split = docs.withColumns(
@@ -77,7 +79,7 @@ def measured(docs: DataFrame) -> DataFrame:
             "_h": F.when(F.size("_w") >= WINDOW, windows).otherwise(none),
         }
     )
-    repeats = repeated_words(F.col("_h")).cast("long")
+    repeats = once(F.col("_h"), repeated_words).cast("long")
     rejected = (F.col("n_words") < FEWEST) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     return hashed.withColumn("n_repeat_words", repeats).withColumn("base_failed", rejected).drop("_h")
 
@@ -133,7 +135,7 @@ def scored(docs: DataFrame, ratios: DataFrame, buckets: int = BUCKETS) -> DataFr
         one, two = _buckets(pair, buckets)
         return total + F.get(F.col("_r"), one) + F.coalesce(F.get(F.col("_r"), two), F.lit(0.0))
 
-    total = F.aggregate(_pairs("_w"), F.lit(0.0), added)
+    total = once(F.col("_w"), lambda w: F.aggregate(_pairs(w), F.lit(0.0), added))
     grams = 2 * F.col("n_words") - 1
     score = F.when(F.col("n_words") > 0, total / grams).otherwise(0.0)
     return docs.withColumn("_r", table).withColumn("score", score).drop("_r")
