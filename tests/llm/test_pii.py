@@ -84,7 +84,7 @@ def test_network_adds_other_spellings(tagger):
 
 
 ODD = [
-    (1, None), (2, ""), (3, "a@b.c"), (3, "a@b.c"), (None, "+1 (555) 010-0199"), (4, "x" * 63 + "a.b@c.de" + "y" * 60), (5, "1" * 200_000),
+    (1, None), (2, ""), (3, "a@b.c"), (3, "a@b.c"), (None, "+1 (555) 010-0199"), (4, "x" * 63 + "a.b@c.de" + "y" * 60), (5, "1" * 20_000),
     (6, "@" * 5_000), (7, "word " * 100_000 + "10.0.0.255"), (8, "4539 1488 0343 6467"), (9, "😀 a@b.co 😀 1.2.3.4"), (10, "1.1.1.1.1.1.1.1.1"),
     (11, "a@b a@b.c@d.e"), (12, "+1" + " " * 400 + "2"),
 ]

@@ -86,5 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+SQL["op4_near_dedup"] = near_dedup.SQL
+SQL["op9_benchmark_decontamination"] = decontamination.SQL
 SQL["op5_chat_rotation"] = chat_rotation.SQL
 SQL["op6_warc_fixity"] = warc_fixity.SQL
