@@ -64,6 +64,18 @@ def test_blocks_and_references():
     assert one("") == one("<article></article>") == ""
 
 
+def test_tags_without_an_end_cut_nothing():
+    assert one("<p>a</p><svg viewBox='0 0 1 1'/><p>b</p><svg><text>x</text></svg><p>c</p><math/><p>d</p>") == "a\nb\nc\nd"
+    for name in ("object", "canvas", "select", "svg", "math", "template", "noscript"):
+        assert one(f"<p>a</p><{name} class='k'><p>b</p><p>c</p>") == "a\nb\nc", name
+        assert one(f"<p>a</p><{name}><p>b</p><{name}>x</{name}><p>c</p>") == "a\nb\nc", name
+    assert one("<p>a</p><object><object>x</object>y</object><p>b</p>") == "a\nb"
+    for name in ("script", "style", "textarea", "iframe"):
+        assert one(f"<p>a</p><{name}><p>b</p>") == "a", name
+        assert one(f"<p>a</p><{name}><p>b</p></{name}><p>c</p>") == "a\nc", name
+    assert len(one("<object><p>x</p>" * 20_000)) == 39_999  # one scan, not one for each tag
+
+
 def test_odd_rows(spark):
     long = "<article><p>" + "word " * 300_000 + "</article>"
     rows = [

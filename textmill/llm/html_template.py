@@ -38,6 +38,10 @@ CHUNK = 4 << 20
 # Elements by role, and words in class names of parts that are no article text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg iframe object canvas math head textarea select".split())
+#: Of these, elements whose content is no markup: without a closing tag they run to the end of the page.
+PLAIN = frozenset("script style textarea iframe".split())
+#: Elements that a tag ending in "/>" leaves empty.
+FOREIGN = frozenset(("svg", "math"))
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img br".split())
 CONTAINERS = frozenset("html body main article section div table tbody tr td center".split())
 SKIPPED = frozenset("nav footer aside form button dialog menu fieldset".split())
@@ -56,6 +60,20 @@ _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _PARTS = re.compile(r"[a-z]+")
 
 
+def _closings(html: str, name: str) -> dict[int, int]:
+    """Ends of the ``name`` elements that have a closing tag, by where they begin; nested ones are told apart."""
+    tag = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?){re.escape(name)}(?=[\s/>])([^>]*)>", re.IGNORECASE | re.DOTALL)
+    found: dict[int, int] = {}
+    begun: list[int] = []
+    for m in tag.finditer(html):
+        if m[1]:
+            if begun:
+                found[begun.pop()] = m.end()
+        elif m[1] is not None and not (name in FOREIGN and m[2].endswith("/")):
+            begun.append(m.start())
+    return found
+
+
 def pieces(html: str):
     """``(kind, path, text, noise)`` of a page in order: elements that open, line breaks, ends of blocks, text.
 
@@ -65,6 +83,7 @@ def pieces(html: str):
     stack: list[tuple[str, str, bool]] = []  # name, name with classes, noise
     path: tuple[str, ...] = ()
     at, size = 0, len(html)
+    closings: dict[str, dict[int, int]] = {}
 
     def noisy() -> bool:
         return bool(stack) and stack[-1][2]
@@ -100,10 +119,14 @@ def pieces(html: str):
             yield "break", path, " ", noisy()
             continue
         if name in RAW:
-            over = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.IGNORECASE).search(html, at)
-            at = over.end() if over else (size if name != "head" else at)
-            if name not in INLINE:
-                yield "end", path, "", noisy()
+            if name in PLAIN:
+                over = re.compile(f"</{name}\\b[^>]*>", re.IGNORECASE).search(html, at)
+                at = over.end() if over else size
+            elif not (name in FOREIGN and (found[3] or found[6] or "").endswith("/")):
+                if name not in closings:
+                    closings[name] = _closings(html, name)
+                at = max(at, closings[name].get(found.start(), at))
+            yield "end", path, "", noisy()
             continue
         if name in CLOSES_P:
             for k in range(len(stack) - 1, -1, -1):
