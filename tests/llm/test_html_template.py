@@ -76,6 +76,25 @@ def test_tags_without_an_end_cut_nothing():
     assert len(one("<object><p>x</p>" * 20_000)) == 39_999  # one scan, not one for each tag
 
 
+def test_a_part_with_the_page_in_it_is_no_noise():
+    text = "<h1>T</h1><p>" + "x " * 40 + "</p>"
+    want = "T\n" + " ".join("x" * 40)
+    menu = "<div class='menu'>" + "y " * 15 + "</div>"
+    assert one(f"<body><form>{menu}<article>{text}</article></form></body>") == want
+    assert one(f"<body><form>{menu}<div>{text}</div></form></body>") == want
+    assert one(f"<body><form>{menu * 4}<article><p>short</p></article></form></body>") == "short"
+    assert one(f"<body><div class='modal'><main>{text}</main>{menu}</div></body>") == want
+    assert one(f"<body><div class='banner-page social'><div>{text}</div></div></body>") == want
+    assert one(f"<div class='post'>{text}</div><aside class='related'><article class='card'><h3>C</h3><p>c</p></article></aside><div id='comments'>{'z ' * 200}</div>") == want
+
+
+def test_names_inside_articles_are_read_as_a_whole():
+    page = "<article><h1>T</h1><section id='related-work'><h2 id='menu'>Menu</h2><p>r</p></section><div class='text social-policy'>s</div>{}</article>"
+    assert one(page.format("")) == "T\nMenu\nr\ns"
+    for name in ("comments", "post-comments", "share-buttons", "text ad-slot", "newsletter-box", "sidebar-left"):
+        assert one(page.format(f"<div class='{name}'>n</div>")) == "T\nMenu\nr\ns", name
+
+
 def test_odd_rows(spark):
     long = "<article><p>" + "word " * 300_000 + "</article>"
     rows = [

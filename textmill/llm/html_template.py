@@ -53,6 +53,15 @@ NOISE = frozenset(
     "modal overlay newsletter subscribe signup comment comments commentlist respond replies reactions disqus share sharing social related "
     "recommended widget toolbar topbar masthead alert adbox adslot".split()
 )
+#: With these, a name made of words in NOISE still says nothing but that.
+PART = frozenset("box slot block area section wrapper wrap container inner outer list bar link links button buttons icon icons posts articles stories items form content top bottom left right col column panel post article entry site page blog".split())
+#: Wrappers that hold whole pages on some sites, and elements that say what they are.
+WRAPPERS = frozenset(("form", "fieldset"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Share of the page's text, links aside, with which an element is the page, and with which a named notice is.
+MOST, NEARLY_ALL = 0.5, 0.9
+#: Least share of the text in articles for which a page without region is read from its articles alone.
+ARTICLE_TEXT = 0.25
 SITE_HEADER = frozenset("header site page top main global".split())
 _SCOPES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
@@ -80,13 +89,70 @@ def pieces(html: str):
     ``path`` is a tuple of open elements, each with its class words; ``noise`` says that the
     place lies in a part which is no article text.
     """
-    stack: list[tuple[str, str, bool]] = []  # name, name with classes, noise
+    elements: list[list] = [[-1, "", 0, False, 0, "", 0]]  # the page
+    found = list(_parts(html, elements))
+    noise = _noise(elements)
+    for kind, path, text, at in found:
+        yield kind, path, text, noise[at]
+
+
+def _own_noise(name: str, named: list[str], whole: bool, in_article: bool) -> int:
+    """What an element says of itself: 0 nothing, 1 a wrapper or one word of several, 2 a part that is no article text.
+
+    ``whole``: one of its names has no other words than those of notices.
+    """
+    if name in ("html", "body", *ARTICLES):
+        return 0
+    if name in SKIPPED:
+        return 1 if name in WRAPPERS else 2
+    if in_article:
+        return 2 if whole and name not in HEADINGS else 0
+    if name == "header" or "header" in named and SITE_HEADER.issuperset(named):
+        return 2
+    return 2 if whole else int(not NOISE.isdisjoint(named))
+
+
+def _noise(elements: list[list]) -> list[bool]:
+    """By element, whether it is no article text, from its names, those around it and its share of the page's text.
+
+    A wrapper, or a part with one telling word among others, is article text if it holds an article or most of the
+    page's text. A named part is if it holds an article with most of the text, or a main heading and nearly all text.
+    Main elements, and articles with most of the text or with an h1, are text inside any other part.
+    """
+    for e in reversed(elements):  # from the innermost elements outwards
+        if e[1] in ARTICLES:
+            e[6] = max(e[6], e[4])
+        if e[0] >= 0:
+            outer = elements[e[0]]
+            outer[4] += e[4]
+            outer[5] = min(outer[5] or e[5], e[5] or outer[5])
+            outer[6] = max(outer[6], e[6])
+    whole = elements[0][4]
+    noise: list[bool] = []
+    for parent, name, own, _, text, headed, article in elements:
+        most = text > MOST * whole
+        if own == 1:
+            own = not (most or article)
+        elif own == 2:
+            own = not (article > MOST * whole or name not in SKIPPED and headed and text >= NEARLY_ALL * whole)
+        inherited = parent >= 0 and noise[parent] and not (name == "main" or name == "article" and (most or headed == "h1"))
+        noise.append(bool(own) or inherited)
+    return noise
+
+
+def _parts(html: str, elements: list[list]):
+    """``(kind, path, text, element)`` of a page in order; lists its elements.
+
+    Of an element: its parent, name, what it says of itself, whether it lies in an article, then the text without
+    links in it, its first main heading (h1, or else h2), and the text of the largest article in it.
+    """
+    stack: list[tuple[str, str, int]] = []  # name, name with classes, element
     path: tuple[str, ...] = ()
     at, size = 0, len(html)
     closings: dict[str, dict[int, int]] = {}
 
-    def noisy() -> bool:
-        return bool(stack) and stack[-1][2]
+    def place() -> int:
+        return stack[-1][2] if stack else 0
 
     def close(keep: int) -> bool:
         nonlocal path
@@ -99,7 +165,10 @@ def pieces(html: str):
         found = _TAG.search(html, at)
         end = found.start() if found else size
         if end > at:
-            yield "text", path, references.unescape(html[at:end]), noisy()
+            text = references.unescape(html[at:end])
+            if not any(name == "a" for name, _, _ in stack):
+                elements[place()][4] += len(text.strip())
+            yield "text", path, text, place()
         if not found:
             break
         at = found.end()
@@ -110,13 +179,13 @@ def pieces(html: str):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
                     if close(k):
-                        yield "end", path, "", noisy()
+                        yield "end", path, "", place()
                     break
                 if stack[k][0] in ("article", "body") and name in INLINE:
                     break
             continue
         if name == "br":
-            yield "break", path, " ", noisy()
+            yield "break", path, " ", place()
             continue
         if name in RAW:
             if name in PLAIN:
@@ -126,7 +195,7 @@ def pieces(html: str):
                 if name not in closings:
                     closings[name] = _closings(html, name)
                 at = max(at, closings[name].get(found.start(), at))
-            yield "end", path, "", noisy()
+            yield "end", path, "", place()
             continue
         if name in CLOSES_P:
             for k in range(len(stack) - 1, -1, -1):
@@ -145,18 +214,19 @@ def pieces(html: str):
                     break
         if name in VOID:
             if name not in INLINE:
-                yield "end", path, "", noisy()
+                yield "end", path, "", place()
             continue
-        named = sorted({w for m in _NAMES.finditer(found[3] or found[6] or "") for w in _PARTS.findall((m[1] or m[2] or m[3] or "").lower())})
-        header = name == "header" and not any(n in ARTICLES for n, _, _ in stack)
-        header = header or "header" in named and SITE_HEADER.issuperset(named)
-        noise = noisy() or name in SKIPPED or header or not NOISE.isdisjoint(named)
-        if noise and name in ("html", "body", *ARTICLES) and not noisy():
-            noise = False
+        tokens = [(m[1] or m[2] or m[3] or "").lower().split() for m in _NAMES.finditer(found[3] or found[6] or "")]
+        split = [_PARTS.findall(t) for names in tokens for t in names]
+        named = sorted({w for t in split for w in t})
+        whole = any(t and not NOISE.isdisjoint(t) and all(w in NOISE or w in PART for w in t) for t in split)
+        parent = place()
+        in_article = elements[parent][3] or elements[parent][1] in ARTICLES
         label = ".".join([name, *named])
-        stack.append((name, label, noise))
+        elements.append([parent, name, _own_noise(name, named, whole, in_article), in_article, 0, name if name in ("h1", "h2") else "", 0])
+        stack.append((name, label, len(elements) - 1))
         path = (*path, label)
-        yield "open", path, name, noise
+        yield "open", path, name, place()
 
 
 def _tokens(html: str) -> dict[tuple, list]:
@@ -280,8 +350,15 @@ def templates(pages: DataFrame) -> DataFrame:
     return count.select("host").join(region, "host", "left").join(menus, "host", "left").join(fixed, "host", "left")
 
 
+def _in_article(path: tuple[str, ...]) -> bool:
+    return any(p.split(".")[0] in ARTICLES for p in path)
+
+
 def main_text(html: str, region: str | None, menus: set[str], fixed: set[int]) -> str:
     """The blocks of the region's slots, joined by line feeds."""
+    found = list(pieces(html))
+    sizes = [(len(text.strip()), _in_article(path)) for kind, path, text, noise in found if kind == "text" and not noise]
+    whole, inner = sum(n for n, _ in sizes), sum(n for n, within in sizes if within)
     for where in (region, None):
         blocks: list[str] = []
         line: list[str] = []
@@ -293,16 +370,16 @@ def main_text(html: str, region: str | None, menus: set[str], fixed: set[int]) -
             line.clear()
 
         inside = tuple(where.split("/")) if where else ()
-        article = any(p.split(".")[0] in ARTICLES for p in inside)
-        if not where and re.search(r"<(?:article|main)\b", html, re.IGNORECASE):
-            article = True
-        for kind, path, text, noise in pieces(html):
+        article = _in_article(inside)
+        if not where:
+            article = inner > 0 and inner >= ARTICLE_TEXT * whole
+        for kind, path, text, noise in found:
             if kind == "open" and text not in INLINE or kind == "end":
                 flush()
             elif kind in ("text", "break"):
                 if noise or path[: len(inside)] != inside:
                     continue
-                if not where and article and not any(p.split(".")[0] in ARTICLES for p in path):
+                if not where and article and not _in_article(path):
                     continue
                 if menus and not article and any("/".join(path[:k]) in menus for k in range(len(inside) + 1, len(path) + 1)):
                     continue
