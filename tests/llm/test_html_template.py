@@ -95,6 +95,22 @@ def test_names_inside_articles_are_read_as_a_whole():
         assert one(page.format(f"<div class='{name}'>n</div>")) == "T\nMenu\nr\ns", name
 
 
+def test_copies_keep_their_text(spark):
+    story = "".join(f"<div class='{x}'><p>part {j} " + f"word{j} " * 20 + "</p></div>" for j, x in enumerate("abc"))
+    rows = [(f"h{n}", f"<body><div class='top'>{story}</div></body>") for n in (3, 4, 1000) for _ in range(n)]
+    rows += [("near", f"<body><div>{story}<p>seen at {k}</p></div></body>") for k in range(5)]
+    rows += [("fixed", f"<body><div><p>{'own ' * 9}{k}</p><i>the same</i></div></body>") for k in range(4)] + [("fixed", "<body><div><i>the same</i></div></body>")]
+    pages = spark.createDataFrame([(k, f"http://{h}/{k}", t) for k, (h, t) in enumerate(rows)], "page_id long, url string, html string")
+    want = "\n".join(f"part {j} " + " ".join([f"word{j}"] * 20) for j in range(3))
+    for r in H.extract(pages).collect():
+        host, text = rows[r.page_id]
+        end = "\nseen at " + text.split("seen at ")[1][0] if host == "near" else ""
+        if host != "fixed":
+            assert r.text == want + end, host
+        else:
+            assert ("own" in r.text) != ("the same" in r.text)
+
+
 def test_odd_rows(spark):
     long = "<article><p>" + "word " * 300_000 + "</article>"
     rows = [

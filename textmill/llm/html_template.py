@@ -13,7 +13,7 @@ are by element or class name.
 
 Null and empty html gives an empty text. A page alone on its host, and one with a null url, is read with its
 own template. Hosts may be of any size: nothing is gathered by host but sums. Rows are read each on
-its own, repeated ids too. An empty table gives an empty result. Other columns than id, url and html are not read.
+its own, repeated ids too; equal pages of a host count once when fixed text is sought. An empty table gives an empty result. Other columns than id, url and html are not read.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ from textmill.llm import words
 from textmill.session import stored
 
 REGION = 0.9
-#: Fewest pages of a host for which a text piece in all pages counts as fixed, and least share of links in a menu.
-FIXED_PAGES, MENU = 4, 0.7
+#: Fewest different pages of a host for which a text piece in all pages counts as fixed, share of fixed text beyond
+#: which the pages are near copies and none of it counts, and least share of links in a menu.
+FIXED_PAGES, COPIES, MENU = 4, 0.5, 0.7
 CHUNK = 4 << 20
 
 # Elements by role, and words in class names of parts that are no article text.
@@ -239,8 +240,10 @@ def _tokens(html: str) -> dict[tuple, list]:
             text = " ".join(text.split())
             if not text:
                 continue
-            out.setdefault((path, text), [0, 0, 0])[0] += 1
+            own = out.setdefault((path, text), [0, 0, 0])
+            own[0] += 1
             if not noise:
+                own[1] += len(text)
                 link = any(p == "a" or p.startswith("a.") for p in path)
                 for k in range(1, len(path) + 1):
                     if path[k - 1].split(".")[0] in CONTAINERS or path[k - 1].split(".")[0] in ("ul", "ol", "dl"):
@@ -328,7 +331,9 @@ def valid_classes(tokens: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame) -> DataFrame:
     """One row per host: ``region`` (path of the main region), ``menus`` (paths) and ``fixed`` (text tokens)."""
-    count = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
+    # copies of a page say nothing about what is fixed
+    copies = pages.groupBy("host", F.xxhash64("html").alias("copy")).agg(F.count("*").alias("n"))
+    count = copies.groupBy("host").agg(F.sum("n").alias("host_pages"), F.count("*").alias("distinct_pages"))
     tokens = stored(tokens_of(pages), "tokens").join(count, "host")
     valid = stored(valid_classes(tokens), "classes")
     root = valid.filter((F.col("pages") == F.col("host_pages")) & (F.col("total") == F.col("pages")))
@@ -346,7 +351,11 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     listed = valid.filter((F.col("path") != "") & last.isin("ul", "ol", "dl", "div", "table", "section") & (F.col("text") > 0) & (F.col("links") >= MENU * F.col("text")))
     menus = listed.groupBy("host").agg(F.collect_set("path").alias("menus"))
-    fixed = root.filter((F.col("path") == "") & (F.col("host_pages") >= FIXED_PAGES)).groupBy("host").agg(F.collect_set("token").alias("fixed"))
+    same = root.filter((F.col("path") == "") & (F.col("distinct_pages") >= FIXED_PAGES))
+    # where most text is the same the pages are copies with small changes
+    every = tokens.groupBy("host").agg(F.max(F.when(F.col("path") != "", F.col("text"))).alias("every"))
+    alike = same.groupBy("host").agg(F.collect_set("token").alias("fixed"), F.sum("text").alias("alike"))
+    fixed = alike.join(every, "host").filter(F.col("alike") <= COPIES * F.col("every")).select("host", "fixed")
     return count.select("host").join(region, "host", "left").join(menus, "host", "left").join(fixed, "host", "left")
 
 
@@ -359,7 +368,9 @@ def main_text(html: str, region: str | None, menus: set[str], fixed: set[int]) -
     found = list(pieces(html))
     sizes = [(len(text.strip()), _in_article(path)) for kind, path, text, noise in found if kind == "text" and not noise]
     whole, inner = sum(n for n, _ in sizes), sum(n for n, within in sizes if within)
-    for where in (region, None):
+    # a page that holds nothing but fixed text keeps it
+    passes = [(where, known) for where in dict.fromkeys((region, None)) for known in ((fixed, frozenset()) if fixed else (fixed,))]
+    for where, known in passes:
         blocks: list[str] = []
         line: list[str] = []
 
@@ -383,11 +394,11 @@ def main_text(html: str, region: str | None, menus: set[str], fixed: set[int]) -
                     continue
                 if menus and not article and any("/".join(path[:k]) in menus for k in range(len(inside) + 1, len(path) + 1)):
                     continue
-                if fixed and not article and kind == "text" and _signed(_hash("/".join(path), " ".join(text.split()))) in fixed:
+                if known and not article and kind == "text" and _signed(_hash("/".join(path), " ".join(text.split()))) in known:
                     continue
                 line.append(text)
         flush()
-        if blocks or not where:
+        if blocks:
             return "\n".join(blocks)
     return ""
 
