@@ -111,6 +111,16 @@ def test_copies_keep_their_text(spark):
             assert ("own" in r.text) != ("the same" in r.text)
 
 
+def test_text_beside_the_largest_container_stays(spark):
+    page = """<body><div class="top"><a href="/">Home</a> <a href="/b">More</a></div><div class="wrap"><h1>Title {k}</h1><p class="lead">Lead {k}</p>
+    <div class="story">{body}</div></div><div class="below">Fixed closing words</div></body>"""
+    bodies = [f"<p>Story {k} " + "word " * (200 if k else 0) + "</p>" for k in range(6)]
+    rows = [(k, f"http://site/{k}", page.format(k=k, body=b)) for k, b in enumerate(bodies)]
+    for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect():
+        assert r.text.split("\n")[:2] == [f"Title {r.page_id}", f"Lead {r.page_id}"]
+        assert [x[:7] for x in r.text.split("\n")[2:]] == [f"Story {r.page_id}"]
+
+
 def test_odd_rows(spark):
     long = "<article><p>" + "word " * 300_000 + "</article>"
     rows = [

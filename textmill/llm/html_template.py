@@ -6,9 +6,9 @@ tokens with equal vectors form a class. A class nests in the class around its ou
 lie elsewhere have another role and are left out. Valid classes, nested by path, are the host's template. The class that occurs
 once in every page is its root: its elements are the fixed containers, the text of other
 tokens fills the slots between them. Of each container the host's pages give the amount of slot text, with and
-without links. The main region is the root's article or main element, or else its deepest container with at
-least ``REGION`` of the text; containers that hold mostly links are menus. A second pass takes the
-slots of that region from every page, without fixed text outside articles and without parts that say what they
+without links. The main region is the root's article or main element, or else the whole page; containers
+that hold mostly links are menus. A second pass takes the
+slots of that region from every page, without menus, without fixed text outside articles and without parts that say what they
 are by element or class name.
 
 Null and empty html gives an empty text. A page alone on its host, and one with a null url, is read with its
@@ -24,13 +24,12 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm import words
 from textmill.session import stored
 
-REGION = 0.9
 #: Fewest different pages of a host for which a text piece in all pages counts as fixed, share of fixed text beyond
 #: which the pages are near copies and none of it counts, and least share of links in a menu.
 FIXED_PAGES, COPIES, MENU = 4, 0.5, 0.7
@@ -339,16 +338,9 @@ def templates(pages: DataFrame) -> DataFrame:
     root = valid.filter((F.col("pages") == F.col("host_pages")) & (F.col("total") == F.col("pages")))
     last = F.element_at(F.split(F.element_at(F.split("path", "/"), -1), r"\."), 1)
     depth = F.size(F.split("path", "/"))
-    boxes = root.filter((F.col("path") != "") & last.isin(*CONTAINERS))
-    whole = F.max("text").over(Window.partitionBy("host"))
-    article = last.isin(*ARTICLES) & (F.col("text") > 0)
-    rank = F.struct(article.alias("article"), F.when(article, -depth).otherwise(depth).alias("depth"), F.col("text"), F.col("path"))
-    region = (
-        boxes.withColumn("whole", whole)
-        .filter(article | ((F.col("text") >= REGION * F.col("whole")) & (F.col("text") > 0)))
-        .groupBy("host")
-        .agg(F.max(rank)["path"].alias("region"))
-    )
+    rank = F.struct((-depth).alias("depth"), F.col("text"), F.col("path"))
+    # without such an element all slots belong to the text, wherever they lie
+    region = root.filter(last.isin(*ARTICLES) & (F.col("text") > 0)).groupBy("host").agg(F.max(rank)["path"].alias("region"))
     listed = valid.filter((F.col("path") != "") & last.isin("ul", "ol", "dl", "div", "table", "section") & (F.col("text") > 0) & (F.col("links") >= MENU * F.col("text")))
     menus = listed.groupBy("host").agg(F.collect_set("path").alias("menus"))
     same = root.filter((F.col("path") == "") & (F.col("distinct_pages") >= FIXED_PAGES))
