@@ -121,6 +121,17 @@ def test_text_beside_the_largest_container_stays(spark):
         assert [x[:7] for x in r.text.split("\n")[2:]] == [f"Story {r.page_id}"]
 
 
+def test_repeated_notices_inside_articles(spark):
+    page = "<article><h1>Title {k}</h1><h2>Method</h2>{body}<p>Get our <b>letter</b> now</p><p>By <i>Writer {k}</i></p><ul><li><a href='/{k}'>Source {k}</a></ul></article>"
+    rows = [(f"h{n}", page.format(k=k, body=f"<p>Story {k} {'word ' * 20}</p>" * (k + 1))) for n in (3, 5) for k in range(n)]
+    pages = spark.createDataFrame([(k, f"http://{h}/{k}", t) for k, (h, t) in enumerate(rows)], "page_id long, url string, html string")
+    for r in H.extract(pages).collect():
+        host, k = rows[r.page_id][0], r.page_id - 3 * (r.page_id > 2)
+        lines = r.text.split("\n")
+        assert [x for x in lines if not x.startswith("Story")] == [f"Title {k}", "Method", *["Get our letter now"] * (host == "h3"), f"By Writer {k}", f"Source {k}"]
+        assert len([x for x in lines if x.startswith("Story")]) == k + 1
+
+
 def test_odd_rows(spark):
     long = "<article><p>" + "word " * 300_000 + "</article>"
     rows = [

@@ -8,7 +8,7 @@ once in every page is its root: its elements are the fixed containers, the text
 tokens fills the slots between them. Of each container the host's pages give the amount of slot text, with and
 without links. The main region is the root's article or main element, or else the whole page; containers
 that hold mostly links are menus. A second pass takes the
-slots of that region from every page, without menus, without fixed text outside articles and without parts that say what they
+slots of that region from every page, without menus outside articles, without fixed text (in articles: blocks of nothing else) and without parts that say what they
 are by element or class name.
 
 Null and empty html gives an empty text. A page alone on its host, and one with a null url, is read with its
@@ -58,6 +58,8 @@ PART = frozenset("box slot block area section wrapper wrap container inner outer
 #: Wrappers that hold whole pages on some sites, and elements that say what they are.
 WRAPPERS = frozenset(("form", "fieldset"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Fixed text in these names what the page's own text beside it is.
+LABELS = HEADINGS | frozenset("th td dt caption figcaption summary".split())
 #: Share of the page's text, links aside, with which an element is the page, and with which a named notice is.
 MOST, NEARLY_ALL = 0.5, 0.9
 #: Least share of the text in articles for which a page without region is read from its articles alone.
@@ -329,7 +331,7 @@ def valid_classes(tokens: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host: ``region`` (path of the main region), ``menus`` (paths) and ``fixed`` (text tokens)."""
+    """One row per host: ``region`` (path of the main region), ``menus`` (paths), ``fixed`` and ``notices`` (text tokens)."""
     # copies of a page say nothing about what is fixed
     copies = pages.groupBy("host", F.xxhash64("html").alias("copy")).agg(F.count("*").alias("n"))
     count = copies.groupBy("host").agg(F.sum("n").alias("host_pages"), F.count("*").alias("distinct_pages"))
@@ -343,11 +345,16 @@ def templates(pages: DataFrame) -> DataFrame:
     region = root.filter(last.isin(*ARTICLES) & (F.col("text") > 0)).groupBy("host").agg(F.max(rank)["path"].alias("region"))
     listed = valid.filter((F.col("path") != "") & last.isin("ul", "ol", "dl", "div", "table", "section") & (F.col("text") > 0) & (F.col("links") >= MENU * F.col("text")))
     menus = listed.groupBy("host").agg(F.collect_set("path").alias("menus"))
-    same = root.filter((F.col("path") == "") & (F.col("distinct_pages") >= FIXED_PAGES))
+    # inside articles a fixed piece often stands in one of many like elements, which is no valid place in the template
+    once = (F.col("pages") == F.col("host_pages")) & (F.col("total") == F.col("pages"))
+    placed = valid.filter(F.col("path") == "").select("host", "token", F.lit(True).alias("valid"))
+    same = tokens.filter((F.col("path") == "") & once & (F.col("distinct_pages") >= FIXED_PAGES)).join(placed, ["host", "token"], "left")
     # where most text is the same the pages are copies with small changes
     every = tokens.groupBy("host").agg(F.max(F.when(F.col("path") != "", F.col("text"))).alias("every"))
-    alike = same.groupBy("host").agg(F.collect_set("token").alias("fixed"), F.sum("text").alias("alike"))
-    fixed = alike.join(every, "host").filter(F.col("alike") <= COPIES * F.col("every")).select("host", "fixed")
+    alike = same.groupBy("host").agg(
+        F.collect_set(F.when(F.col("valid"), F.col("token"))).alias("fixed"), F.collect_set("token").alias("notices"), F.sum("text").alias("alike")
+    )
+    fixed = alike.join(every, "host").filter(F.col("alike") <= COPIES * F.col("every")).select("host", "fixed", "notices")
     return count.select("host").join(region, "host", "left").join(menus, "host", "left").join(fixed, "host", "left")
 
 
@@ -355,22 +362,27 @@ def _in_article(path: tuple[str, ...]) -> bool:
     return any(p.split(".")[0] in ARTICLES for p in path)
 
 
-def main_text(html: str, region: str | None, menus: set[str], fixed: set[int]) -> str:
-    """The blocks of the region's slots, joined by line feeds."""
+def main_text(html: str, region: str | None, menus: set[str], fixed: set[int], notices: set[int] = frozenset()) -> str:
+    """The blocks of the region's slots, joined by line feeds.
+
+    Inside articles a block goes if all its text is in ``notices``; headings and labels of cells stay.
+    """
     found = list(pieces(html))
     sizes = [(len(text.strip()), _in_article(path)) for kind, path, text, noise in found if kind == "text" and not noise]
     whole, inner = sum(n for n, _ in sizes), sum(n for n, within in sizes if within)
     # a page that holds nothing but fixed text keeps it
-    passes = [(where, known) for where in dict.fromkeys((region, None)) for known in ((fixed, frozenset()) if fixed else (fixed,))]
+    passes = [(where, known) for where in dict.fromkeys((region, None)) for known in ((True, False) if fixed or notices else (True,))]
     for where, known in passes:
         blocks: list[str] = []
         line: list[str] = []
+        own = [False]  # whether the line has text of the page's own
 
         def flush() -> None:
             text = " ".join("".join(line).split())
-            if text:
+            if text and own[0]:
                 blocks.append(text)
             line.clear()
+            own[0] = False
 
         inside = tuple(where.split("/")) if where else ()
         article = _in_article(inside)
@@ -386,8 +398,14 @@ def main_text(html: str, region: str | None, menus: set[str], fixed: set[int]) -
                     continue
                 if menus and not article and any("/".join(path[:k]) in menus for k in range(len(inside) + 1, len(path) + 1)):
                     continue
-                if known and not article and kind == "text" and _signed(_hash("/".join(path), " ".join(text.split()))) in known:
-                    continue
+                piece = " ".join(text.split())
+                if known and piece and (notices if article else fixed) and kind == "text":
+                    token = _signed(_hash("/".join(path), piece))
+                    if not article and token in fixed:
+                        continue
+                    own[0] = own[0] or not article or token not in notices or not LABELS.isdisjoint(p.split(".")[0] for p in path)
+                else:
+                    own[0] = own[0] or bool(piece)
                 line.append(text)
         flush()
         if blocks:
@@ -399,7 +417,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every page."""
     placed = hosts(pages)
     found = stored(templates(placed), "templates")
-    joined = placed.join(found, "host", "left").select("page_id", "url", "html", "region", "menus", "fixed")
+    joined = placed.join(found, "host", "left").select("page_id", "url", "html", "region", "menus", "fixed", "notices")
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
@@ -407,8 +425,8 @@ def extract(pages: DataFrame) -> DataFrame:
             names = batch.schema.names
             for a, b in words.slices(words.byte_sizes(batch.column(names.index("html"))), CHUNK):
                 part = batch.slice(a, b - a)
-                rows = zip(*(part.column(names.index(c)).to_pylist() for c in ("html", "region", "menus", "fixed")))
-                texts = [main_text(h or "", r, set(m or ()), set(f or ())) for h, r, m, f in rows]
+                rows = zip(*(part.column(names.index(c)).to_pylist() for c in ("html", "region", "menus", "fixed", "notices")))
+                texts = [main_text(h or "", r, set(m or ()), set(f or ()), set(n or ())) for h, r, m, f, n in rows]
                 size = np.array([len(t) for t in texts], np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(names.index("page_id")), part.column(names.index("url")), pa.array(texts, pa.string()), pa.array(size)], names=["page_id", "url", "text", "n_chars"])
 
