@@ -64,3 +64,12 @@ def test_ratio_by_hand(spark):
     for k in range(64):
         want = math.log(((good[k] + 1) / (3 + 64)) / ((raw[k] + 1) / (8 + 64)))
         assert abs(ratios[k] - want) < 1e-12
+
+
+def test_all_trusted_documents_count(spark):
+    labels = spark.range(60_000).selectExpr("id AS doc_id", "1 AS quality")
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "'one' AS text").union(spark.sql("SELECT CAST(NULL AS bigint), 'two'"))
+    assert Q.trusted_ids(labels).count() == 60_000
+    ratios = Q.log_ratios(docs, Q.trusted_ids(labels), buckets=64).first().ratios
+    place = spark.sql("SELECT pmod(xxhash64('one'), 64) AS b").first().b
+    assert abs(ratios[place] - math.log((60_001 / 60_064) / (60_001 / 60_065))) < 1e-12

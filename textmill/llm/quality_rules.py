@@ -5,8 +5,8 @@ buckets are estimated, one from trusted documents and one from all documents, ea
 counts a bucket. A document's score is the sum of its n-grams' log ratios over their number. It is
 kept if no rule rejects it and its score reaches ``THRESHOLD``, the same for every document and every input.
 
-The trusted multinomial is fitted on about ``TRUSTED`` trusted documents at most, chosen by id hash, since
-their ids are broadcast; the raw one counts every document.
+The trusted multinomial is fitted on all trusted documents, joined by id; the raw one counts every document.
+The number of buckets does not follow the input: large inputs put more n-grams into each.
 
 Null and empty texts have no words and fail the rules; their score is 0. Repeated documents are
 counted and judged each on its own. Without trusted documents every ratio is 0 and the rules alone decide. Null ids
@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.binding import once
-from textmill.llm import sampling
 from textmill.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,7 +27,6 @@ WINDOW = 5
 BUCKETS = 1 << 14
 ALPHA = 1.0
 THRESHOLD = -0.2
-TRUSTED = 50_000
 #: Largest share of words in repeated windows, in hundredths, and fewest words.
 REPEATED, FEWEST = 20, 10
 
@@ -96,17 +94,18 @@ def _buckets(pair: Column, buckets: int) -> tuple[Column, Column]:
     return place(pair["a"]), F.when(pair["b"].isNotNull(), place(pair["a"], pair["b"]))
 
 
-def trusted_ids(labels: DataFrame, most: int = TRUSTED) -> DataFrame:
-    """Ids of trusted documents, about ``most`` at most: a share by hash, so that reruns agree."""
-    good = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return sampling.by_hash(good, "doc_id", most)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all trusted documents."""
+    return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> DataFrame:
     """One row with ``ratios``: by bucket, log of the trusted share over the share in all documents."""
-    ids = F.broadcast(trusted.select(F.col("doc_id").alias("_id"), F.lit(1).alias("_good")))
-    marked = docs.select("doc_id", words_of(F.col("text")).alias("_w")).join(ids, F.col("doc_id") == F.col("_id"), "left")
-    pairs = marked.select("_good", F.explode(_pairs("_w")).alias("p"))
+    ids = trusted.select("doc_id", F.lit(0).alias("_part"), F.lit(1).alias("_good"))
+    # null ids match nothing and are dealt by their text
+    part = F.when(F.col("doc_id").isNull(), F.hash("text")).otherwise(0)
+    marked = docs.select("doc_id", "text", part.alias("_part")).join(ids, ["doc_id", "_part"], "left")
+    pairs = marked.select("_good", words_of(F.col("text")).alias("_w")).select("_good", F.explode(_pairs("_w")).alias("p"))
     counted = (
         pairs.select("_good", F.explode(F.array(*_buckets(F.col("p"), buckets))).alias("bucket"))
         .filter(F.col("bucket").isNotNull())
