@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textmill.llm import (
     chat_rotation,
     decontamination,
+    hard_negatives,
     html_template,
     mix,
     near_dedup,
@@ -86,6 +87,12 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.report(_table(spark, sf, "embeddings"))
+
+
+SQL["op13_hard_negatives"] = hard_negatives.SQL
 SQL["op4_near_dedup"] = near_dedup.SQL
 SQL["op9_benchmark_decontamination"] = decontamination.SQL
 SQL["op5_chat_rotation"] = chat_rotation.SQL
