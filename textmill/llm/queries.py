@@ -13,6 +13,7 @@ from textmill.llm import (
     html_template,
     mix,
     near_dedup,
+    packing,
     pii,
     quality_rules,
     token_counts,
@@ -87,6 +88,13 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+@query
+def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.report(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.report(_table(spark, sf, "embeddings"))
