@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textmill.llm import (
     chat_rotation,
+    conversation_repair,
     decontamination,
     hard_negatives,
     html_template,
@@ -88,6 +89,11 @@ def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversation_repair.report(_table(spark, sf, "conversations"))
+
+
 @query
 def op12_packing(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
