@@ -1,12 +1,14 @@
 """Quality rules: countable rules, then a log-likelihood ratio of hashed word n-grams.
 
-Words and pairs of neighbouring words are hashed to ``BUCKETS`` buckets. Two multinomials over the
-buckets are estimated, one from trusted documents and one from all documents, each smoothed by ``ALPHA``
-counts a bucket. A document's score is the sum of its n-grams' log ratios over their number. It is
-kept if no rule rejects it and its score reaches ``THRESHOLD``, the same for every document and every input.
+Words and pairs of neighbouring words are hashed to buckets. Two multinomials over the buckets are estimated, one from
+trusted documents and one from all documents, each smoothed by ``ALPHA`` counts a bucket. A document's score is the sum
+of its n-grams' log ratios over their number. It is kept if no rule rejects it and its score reaches the threshold, one
+for all documents.
 
-The trusted multinomial is fitted on all trusted documents, joined by id; the raw one counts every document.
-The number of buckets does not follow the input: large inputs put more n-grams into each.
+The raw multinomial counts every document, without a join. The trusted one is fitted on four fifths of all trusted documents;
+the other fifth sets the threshold: ``MARGIN`` times as far below their median score as the score that a share ``LOWEST`` of
+them is under. The number of buckets follows the text's size, by the square root with which vocabularies grow, up to
+``MOST_BUCKETS``, whose ratios are small enough to be broadcast; n-grams beyond share buckets.
 
 Null and empty texts have no words and fail the rules; their score is 0. Repeated documents are
 counted and judged each on its own. Without trusted documents every ratio is 0 and the rules alone decide. Null ids
@@ -16,6 +18,8 @@ and joins only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +28,15 @@ from textmill.session import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WINDOW = 5
-BUCKETS = 1 << 14
+LEAST_BUCKETS, MOST_BUCKETS = 1 << 14, 1 << 20
+PER_ROOT = 16  # buckets for each root of an n-gram
 ALPHA = 1.0
-THRESHOLD = -0.2
+FIFTH = 5  # one in so many trusted documents is held out for the threshold
+LOWEST, MARGIN = 0.005, 2.0
+BITS = 1 << 24  # of the filter of trusted ids
+BITMAP = 1 << 15  # bits of one of Spark's bitmaps
+SALTS = 8
+SLICE = 1 << 10
 #: Largest share of words in repeated windows, in hundredths, and fewest words.
 REPEATED, FEWEST = 20, 10
 
@@ -99,65 +109,109 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, alpha: float = ALPHA) -> DataFrame:
-    """One row with ``ratios``: by bucket, log of the trusted share over the share in all documents."""
-    ids = trusted.select("doc_id", F.lit(0).alias("_part"), F.lit(1).alias("_good"))
-    # null ids match nothing and are dealt by their text
-    part = F.when(F.col("doc_id").isNull(), F.hash("text")).otherwise(0)
-    marked = docs.select("doc_id", "text", part.alias("_part")).join(ids, ["doc_id", "_part"], "left")
-    pairs = marked.select("_good", words_of(F.col("text")).alias("_w")).select("_good", F.explode(_pairs("_w")).alias("p"))
-    counted = (
-        pairs.select("_good", F.explode(F.array(*_buckets(F.col("p"), buckets))).alias("bucket"))
-        .filter(F.col("bucket").isNotNull())
-        .groupBy("bucket")
-        .agg(F.count("*").alias("raw"), F.count("_good").alias("good"))
-    )
-    spark = docs.sparkSession
-    every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(counted, "bucket", "left")
-    filled = stored(every.select("bucket", F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("good", F.lit(0)).alias("good")), "buckets")
-    # one row of a fixed number of buckets
-    listed = F.sort_array(F.collect_list(F.struct("bucket", "raw", "good")))
-    total = filled.agg(F.sum("raw").alias("raw"), F.sum("good").alias("good"), listed.alias("rows"))
-    ratio = lambda x, f: (x + F.lit(alpha)) / (f + F.lit(alpha * buckets))
-    return total.select(
-        F.when(F.col("good") > 0, F.transform("rows", lambda x: F.log(ratio(x["good"], F.col("good")) / ratio(x["raw"], F.col("raw")))))
-        .otherwise(F.transform("rows", lambda x: F.lit(0.0)))
-        .alias("ratios")
+def trusted_documents(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` of the documents with a trusted id.
+
+    Bitmaps of the ids' hashes, ``BITS`` in all, drop nearly all others before the join, so that little
+    more than the trusted texts is shuffled. One way of joining at every size; rows of one id are dealt by their text too.
+    """
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(3)), F.lit(BITS))
+    bit = F.pmod(place, F.lit(BITMAP))
+    bitmaps = trusted.groupBy(F.floor(place / BITMAP).alias("_map")).agg(F.bitmap_construct_agg(bit).alias("_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    hit = F.pmod(F.floor(byte / F.pow(F.lit(2), bit % 8)), F.lit(2)) == 1
+    # at most BITS / BITMAP bitmaps
+    near = (
+        docs.select("doc_id", "text")
+        .filter(F.col("doc_id").isNotNull())
+        .join(F.broadcast(bitmaps), F.floor(place / BITMAP) == F.col("_map"))
+        .filter(hit)
+        .select("doc_id", "text", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int").alias("_salt"))
     )
+    ids = trusted.select("doc_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    return near.join(ids.hint("merge"), ["doc_id", "_salt"]).select("doc_id", "text")
 
 
-def scored(docs: DataFrame, ratios: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Measured documents with ``score``, by words in ``_w``."""
-    table = stored(ratios, "ratios").scalar()
+def bucket_count(docs: DataFrame) -> int:
+    """A power of two that grows with the root of the text's size; a word is taken to have six bytes."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    wanted = PER_ROOT * math.sqrt(size / 3)
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << round(math.log2(max(wanted, 1)))))
 
-    def added(total: Column, pair: Column) -> Column:
-        one, two = _buckets(pair, buckets)
-        return total + F.get(F.col("_r"), one) + F.coalesce(F.get(F.col("_r"), two), F.lit(0.0))
 
-    total = once(F.col("_w"), lambda w: F.aggregate(_pairs(w), F.lit(0.0), added))
-    grams = 2 * F.col("n_words") - 1
-    score = F.when(F.col("n_words") > 0, total / grams).otherwise(0.0)
-    return docs.withColumn("_r", table).withColumn("score", score).drop("_r")
+def _grams(docs: DataFrame, buckets: int, *keep: str) -> DataFrame:
+    """Buckets of each word and, unless it is the last, of it and the next; one row of nulls for no words."""
+    words = docs.select(*keep, F.explode_outer(_pairs("_w")).alias("p"))
+    one, two = _buckets(F.col("p"), buckets)
+    return words.select(*keep, F.when(F.col("p").isNotNull(), one).alias("one"), two.alias("two"))
 
 
-def report(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document: the counts, the rules' verdict, the score and whether it is kept."""
-    ratios = log_ratios(docs, trusted_ids(labels))
-    judged = scored(measured(docs.select("doc_id", "text")), ratios)
-    return judged.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        "base_failed",
-        (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"),
-        F.round("score", 9).alias("score"),
-    )
+def _counted(docs: DataFrame, buckets: int, name: str) -> DataFrame:
+    grams = _grams(docs.select(words_of(F.col("text")).alias("_w")), buckets)
+    each = grams.select(F.explode(F.array("one", "two")).alias("bucket")).filter(F.col("bucket").isNotNull())
+    return each.groupBy("bucket").agg(F.count("*").alias(name))
+
+
+def fitted(docs: DataFrame, chosen: DataFrame, buckets: int, alpha: float = ALPHA) -> DataFrame:
+    """``(bucket, ratio)``: log of the share in ``chosen`` over the share in all documents."""
+    raw, good = _counted(docs, buckets, "raw"), _counted(chosen, buckets, "good")
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
+    count = lambda name: F.coalesce(name, F.lit(0)).alias(name)
+    filled = stored(every.join(raw, "bucket", "left").join(good, "bucket", "left").select("bucket", count("raw"), count("good")), "buckets")
+    total = filled.agg(F.sum("raw").alias("f"), F.sum("good").alias("g"))
+    share = lambda n, of: (F.col(n) + F.lit(alpha)) / (F.col(of) + F.lit(alpha * buckets))
+    ratio = F.when(F.col("g") > 0, F.log(share("good", "g") / share("raw", "f"))).otherwise(0.0)
+    return stored(filled.join(F.broadcast(total)).select("bucket", ratio.alias("ratio")), "ratios")
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = LEAST_BUCKETS, alpha: float = ALPHA) -> DataFrame:
+    """One row with ``ratios``, by bucket, fitted on all documents of the trusted ids."""
+    table = fitted(docs, trusted_documents(docs, trusted), buckets, alpha)
+    # slices of a fixed number of buckets first
+    slices = table.groupBy(F.floor(F.col("bucket") / SLICE).alias("slice")).agg(F.sort_array(F.collect_list(F.struct("bucket", "ratio")))["ratio"].alias("part"))
+    return slices.agg(F.flatten(F.sort_array(F.collect_list(F.struct("slice", "part")))["part"]).alias("ratios"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that rules and score keep."""
-    judged = scored(measured(docs), log_ratios(docs, trusted_ids(labels)))
-    return judged.filter(~F.col("base_failed") & (F.col("score") >= threshold)).select(docs.columns)
+RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+def scored(docs: DataFrame, ratios: DataFrame, buckets: int, *keep: str) -> DataFrame:
+    """``keep``, the rules' counts and ``score`` of each document with ``text``.
+
+    The rows of a document's words are summed where they are; only one row for each document is shuffled.
+    """
+    held = measured(docs.select(*keep, F.monotonically_increasing_id().alias("_row"), "text")).drop("text")
+    one = F.broadcast(ratios.select(F.col("bucket").alias("one"), F.col("ratio").alias("_r1")))
+    two = F.broadcast(ratios.select(F.col("bucket").alias("two"), F.col("ratio").alias("_r2")))
+    names = ["_row", *keep, *RULES]
+    found = _grams(held, buckets, *names).join(one, "one", "left").join(two, "two", "left")
+    total = F.sum(F.coalesce("_r1", F.lit(0.0)) + F.coalesce("_r2", F.lit(0.0)))
+    mean = F.when(F.col("n_words") > 0, F.col("_total") / (2 * F.col("n_words") - 1)).otherwise(0.0)
+    return found.groupBy(*names).agg(total.alias("_total")).select(*keep, "_row", *RULES, F.round(mean, 9).alias("score"))
+
+
+def _model(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, float]:
+    """Ratios, their number and the threshold."""
+    buckets = bucket_count(docs)
+    chosen = stored(trusted_documents(docs, trusted_ids(labels)), "trusted")
+    aside = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(FIFTH)) == 0
+    ratios = fitted(docs, chosen.filter(~aside), buckets)
+    sound = scored(chosen.filter(aside), ratios, buckets).filter("NOT base_failed")
+    low, middle = sound.agg(F.percentile_approx("score", [LOWEST, 0.5], 10_000)).first()[0] or (-math.inf, 0.0)
+    return ratios, buckets, middle - MARGIN * (middle - low)
+
+
+def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per document: the counts, the rules' verdict, the score and whether it is kept."""
+    ratios, buckets, threshold = _model(docs, labels)
+    judged = scored(docs.select("doc_id", "text"), ratios, buckets, "doc_id")
+    return judged.select("doc_id", *RULES, (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that rules and score keep; their rows are written once, to be found again."""
+    held = stored(docs.withColumn("_place", F.monotonically_increasing_id()), "documents")
+    ratios, buckets, threshold = _model(held, labels)
+    judged = scored(held.select("_place", "text"), ratios, buckets, "_place")
+    good = judged.filter(~F.col("base_failed") & (F.col("score") >= threshold)).select("_place")
+    return held.join(good, "_place").select(docs.columns)
