@@ -203,3 +203,46 @@ def test_document_lookup(docs):
     assert len(drawn) > 1
     again = {documents.random_document(docs.repartition(7), s).first().doc_id for s in range(4)}
     assert drawn == again
+
+
+def test_large_fold_table(spark):
+    """A table of tens of thousands of entries equals a model that goes character by character."""
+    import random
+
+    from textmill import tables
+    from textmill.functions import charsets, cleaning, folding
+
+    draw = random.Random(4)
+    table = {chr(p): draw.choice(["", "a", "xy", "--", "é", "p\tq", "z "]) for p in range(0x3400, 0x3400 + 30_000)}
+    table |= {"①": "no", "é": "no", "a": "no", "ab": "no", "«": "no"}
+    folder = folding.table_folder(spark, table)
+    texts = ["plain", "", None, "①é«a"] + ["".join(draw.choice(["a", " ", "\n", "ñ", chr(0x3400 + draw.randrange(31_000)), "①", "« ", "🏳️"]) for _ in range(60)) for _ in range(200)]
+
+    def model(text):
+        if text is None:
+            return None
+        text = text.replace("\r", "")
+        for pairs in (tables.SIGN_REPLACEMENTS, [(c, str(i)) for i, c in enumerate(tables.CIRCLED_NUMBERS, 1)], tables.EMOJI_SENTINELS):
+            for old, new in pairs:
+                text = text.replace(old, new)
+        out = ""
+        for c in text:
+            if c in "\t\n" or " " <= c <= "~" or ord(c) in charsets.PASSING_ABOVE_ASCII:
+                out += c
+            elif not c.isascii():
+                out += "".join(x for x in table.get(c, "").replace("--", "-") if x in "\t\n" or " " <= x <= "~")
+        for old, new in ((" \n", "\n"), ("\t\n", "\n"), ("\n\n\n", "\n\n")):
+            while old in out:
+                out = out.replace(old, new)
+        token = tables.CONTROL_TOKENS["tiktoken"]
+        return out.strip(" \t\n").replace("\t", token["tab"]).replace("\n", token["new_line"])
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+    cleaned = cleaning.clean_with_table(docs, folder)
+    assert {r.i: r.text for r in cleaned.collect()} == {i: model(t) for i, t in enumerate(texts)}
+    frame = spark.createDataFrame(list(table.items()), "character string, spelling string")
+    again = cleaning.clean_with_table(docs, folding.table_folder(spark, frame))
+    assert again.exceptAll(cleaned).isEmpty()
+    small = cleaning.clean_with_table(docs, folding.table_folder(spark, {"北": "Bei"}))
+    plan = lambda f: len(f._jdf.queryExecution().optimizedPlan().toString())
+    assert abs(plan(cleaned) - plan(small)) < 200

@@ -1,15 +1,15 @@
 """Text cleaning and its inverse as column expressions.
 
-All of it stays inside the JVM. Text is scanned a fixed number of times whatever
+All of it stays inside the JVM but the lookup in fold tables of any size. Text is scanned a fixed number of times whatever
 the size of the character tables, and no pattern used here backtracks, so a long
 run of blanks costs no more than the same length of words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill import tables
@@ -157,6 +157,24 @@ def _clean_whole(text: Column, family: str, folds: Mapping[str, str] | None) ->
     return controls_to_tokens(tidied, family)
 
 
+def clean_with_table(
+    docs: DataFrame,
+    folder: Callable[[Column], Column],
+    family: str = "tiktoken",
+    text: str = "text",
+) -> DataFrame:
+    """:func:`clean_text` of a column with the folds of :func:`folding.table_folder`.
+
+    The table's function cannot stand inside another expression, so the steps before and after it
+    are projections of their own.
+    """
+    pairs = tables.SIGN_REPLACEMENTS + _circled_pairs() + tables.EMOJI_SENTINELS
+    spelled = docs.withColumn(text, replace_where_marked(drop_carriage_returns(F.col(text)), pairs))
+    folded = spelled.withColumn(text, folder(F.col(text)))
+    tidied = F.trim(tidy_blanks(drop_unknown_characters(F.col(text))), F.lit(" \t\n"))
+    return folded.withColumn(text, controls_to_tokens(tidied, family))
+
+
 def clean_text(
     text: Column,
     family: str = "tiktoken",

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import lru_cache
+from typing import Iterator
 
-from pyspark.sql import Column
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill import tables
@@ -96,3 +98,32 @@ def fold_table(spell: Callable[[str], str] = compatibility_spelling) -> dict[str
 @lru_cache(maxsize=1)
 def default_folds() -> dict[str, str]:
     return fold_table()
+
+
+def table_folder(spark: SparkSession, table: Mapping[str, str] | DataFrame) -> Callable[[Column], Column]:
+    """Folds of a table of any size, as a function of a text column.
+
+    ``table`` maps characters to spellings, or has the columns ``character`` and ``spelling``; it has at most one row
+    for each of Unicode's characters, so it goes to every task once. The plan holds no part of it. Characters that may
+    pass, sentinels and keys of the other replacements keep their meaning. Only texts with a character beyond ASCII
+    are sent to the function, which looks up each of their characters.
+    """
+    if isinstance(table, DataFrame):
+        one = table.select("character", "spelling").filter(F.char_length("character") == 1)
+        pairs = one.dropDuplicates(["character"]).toArrow().to_pydict()
+        table = dict(zip(pairs["character"], pairs["spelling"]))
+    kept = {c for old, new in tables.SIGN_REPLACEMENTS + tables.EMOJI_SENTINELS for c in (old, new)} | set(tables.CIRCLED_NUMBERS)
+    own = {
+        ord(c): _printable((s or "").replace("--", "-"))
+        for c, s in table.items()
+        if len(c) == 1 and not c.isascii() and ord(c) not in PASSING_ABOVE_ASCII and c not in kept
+    }
+    shared = spark.sparkContext.broadcast(own)
+
+    def translated(batches):
+        for batch in batches:
+            yield batch.map(lambda text: text.translate(shared.value), na_action="ignore")
+
+    translated.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    apply = F.pandas_udf(translated, "string")
+    return lambda text: F.coalesce(apply(F.when(text.rlike(r"[^\x00-\x7F]"), text)), text)

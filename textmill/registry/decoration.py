@@ -18,6 +18,7 @@ DECORATIONS: dict[str, list[tuple[str, str]]] = {
     "unknown": [(". ", "\x01.北\x7f京 é🙂⚡ "), (", ", ",​\tß️€ 🩷🥲 ")],
     "folds": [(". ", "… – ½ ½é "), (", ", " —, ™“x”  𝐀ﬁĳ ")],
     "scripts": [(". ", ". Москва, щука й Αθήνα "), (", ", ", ひらがな カタカナ 한글 값 שלום سلم ")],
+    "ideographs": [(". ", "。北京—東京 «中» 🇫🇷 ñ. "), (", ", ", 㐀龥 ❤️ ")],
     "blanks": [(". ", ".  \t\n \n\n\n"), (", ", ",\t\t\n  \n"), (" a", " \t a")],
     "control": [(". ", " <|tab|> .\n<|tab|><|tab|>"), (", ", ", ñ \t\n<|tab|>  ")],
     "some_control": [(" the by ", " <|system|> "), (" de la ", " <|endoftext|>")],

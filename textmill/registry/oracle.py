@@ -75,6 +75,13 @@ def clean(expr: str) -> str:
     return control(f"trim({tidy(allowed(expr))}, {text(' ' + chr(9) + chr(10))})")
 
 
+def clean_with_ideographs(expr: str) -> str:
+    """As :func:`clean`, with the table's spelling of the ideographs that are put into the tables, and no other."""
+    for pairs in ([("\r", "")], tables.SIGN_REPLACEMENTS, CIRCLED, tables.EMOJI_SENTINELS, [(c, f"u{ord(c):x} ") for c in "北京東中㐀龥"]):
+        expr = replaces(expr, pairs)
+    return control(f"trim({tidy(drop(expr))}, {text(' ' + chr(9) + chr(10))})")
+
+
 def decode(expr: str) -> str:
     return replaces(expr, [(one, many) for many, one in reversed(tables.EMOJI_SENTINELS)])
 
@@ -323,8 +330,13 @@ def sql() -> dict[str, str]:
             UNION ALL SELECT printf('%02X', i), i::INTEGER FROM range(256) AS r(i)""",
         "token_shards": f"""WITH {STREAM}
             SELECT split, shard, doc_id, start, size, tokens FROM ({sharded('stored')})""",
+        "corpus_without_ids": """SELECT row_number() OVER () - 1 AS doc_id, source, md5(text) AS text FROM documents""",
         "raw_tokens_read_back": f"""WITH {STREAM}, {XS}
             SELECT split, block::BIGINT AS block, array_to_string(x, ' ') AS x FROM xs""",
+        "tokens_by_index": f"""WITH {STREAM}
+            SELECT split, doc_id, start, size, tokens FROM ({sharded('stored')}) WHERE split = 'val'""",
+        "raw_tokens_by_index": f"""WITH {STREAM}
+            SELECT split, doc_id, start, size, tokens FROM ({sharded('stored')})""",
         "offset_index": f"WITH {STREAM} SELECT split, doc_id, start, size FROM stored",
         "corpus_metadata": f"""WITH {STREAM}
             SELECT 'pretraining' AS training_part, 'wikipedia' AS name,
@@ -338,6 +350,7 @@ def sql() -> dict[str, str]:
         "drop_unknown_characters": per_text("unknown", drop),
         "fold_to_ascii": per_text("folds", lambda e: replaces(e, SPELLINGS.items())),
         "fold_other_scripts": per_text("scripts", lambda e: replaces(e, [*SCRIPTS, *SPELLINGS.items()])),
+        "clean_with_large_table": per_text("ideographs", clean_with_ideographs),
         "allowed_text": per_text("everything", allowed),
         "tidy_blanks": per_text("blanks", tidy),
         "strip_text": per_text(

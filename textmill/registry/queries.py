@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.registry.decoration import DECORATIONS
-from textmill.functions import cleaning, control, pieces, wiki
+from textmill.functions import cleaning, control, folding, pieces, wiki
 from textmill.operators import (
     chat,
     documents,
@@ -74,6 +74,13 @@ def corpus_source(spark, sf):
     return docs.select("doc_id", "source", F.length("text").alias("characters"))
 
 
+@query
+def corpus_without_ids(spark, sf):
+    """The documents as a corpus without a key: a row's position is its id."""
+    docs = corpus.read_corpus(spark, f"{sf}/documents.parquet", id_col=None)
+    return docs.select("doc_id", "source", F.md5("text").alias("text"))
+
+
 @query
 def corpus_union(spark, sf):
     both = corpus.union_corpora(
@@ -171,6 +178,25 @@ def offset_index(spark, sf):
     return token_store.read_index(spark, path).select("split", "doc_id", "start", "size")
 
 
+@query
+def tokens_by_index(spark, sf):
+    """All validation documents, by a table of their ids: only shards that hold one are opened."""
+    _, path = _saved(spark, sf)
+    ids = token_store.read_index(spark, path).filter("split = 'val'").select("doc_id")
+    found = token_store.tokens_at(spark, path, ids)
+    return found.select("split", "doc_id", "start", "size", F.concat_ws(" ", "tokens").alias("tokens"))
+
+
+@query
+def raw_tokens_by_index(spark, sf):
+    """Every document again, as the byte range of the raw files that the index names."""
+    shards, path = _saved(spark, sf, max_shards=8)
+    raw = _folder(spark, "raw")
+    dtype = token_store.export_raw(shards, raw)
+    found = token_store.raw_tokens_at(spark, raw, token_store.read_index(spark, path), dtype)
+    return found.select("split", "doc_id", "start", "size", F.concat_ws(" ", "tokens").alias("tokens"))
+
+
 @query
 def corpus_metadata(spark, sf):
     _, path = _saved(spark, sf, max_shards=8)
@@ -222,6 +248,19 @@ def fold_other_scripts(spark, sf):
     return _texts(spark, sf, "scripts", cleaning.fold_to_ascii)
 
 
+def ideograph_folds() -> dict[str, str]:
+    """A table of the size of a full transliteration: every ideograph of two blocks by its code point."""
+    return {chr(p): f"u{p:x} " for first, last in ((0x3400, 0x4DBF), (0x4E00, 0x9FFF)) for p in range(first, last + 1)}
+
+
+@query
+def clean_with_large_table(spark, sf):
+    """Cleaning with a spelling for each of 27,000 ideographs, which the default table drops."""
+    docs = _decorated(_documents(spark, sf), "ideographs")
+    folder = folding.table_folder(spark, ideograph_folds())
+    return cleaning.clean_with_table(docs, folder).select("doc_id", "text")
+
+
 @query
 def allowed_text(spark, sf):
     return _texts(spark, sf, "everything", cleaning.allowed_text)

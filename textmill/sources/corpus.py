@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textmill.sources.positions import with_position
+
 FORMATS = ("parquet", "json", "orc", "text")
 BYTES_PER_PARTITION = 64 * 1024 * 1024
 UNKNOWN_BYTES = 1 << 55  # an estimate beyond this says that the size is not known
@@ -19,28 +21,29 @@ def read_corpus(
     source: str | Column | None = None,
     fmt: str = "parquet",
     text_col: str = "text",
-    id_col: str = "doc_id",
+    id_col: str | None = "doc_id",
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Read documents and check that they have an id and a text.
 
     ``source`` names the corpus, or is a column of the files that does. Only the
-    columns that are used later are read. For ``text`` files every line is a document; as
-    lines have no key, its id is made from the file's part of the input and the row in it.
+    columns that are used later are read. For ``text`` files every line is a document. Lines have no key: a document's
+    id is its position in all files, in path order, the same however files are cut among tasks. So it
+    is for other formats with ``id_col=None``.
     """
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; known: {', '.join(FORMATS)}")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if fmt == "text":
-        lines = reader.text(path)
-        docs = lines.select(
-            F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text")
-        )
+        docs = with_position(reader.text(path), "doc_id").withColumnRenamed("value", "text")
     else:
         raw = reader.format(fmt).load(path)
-        missing = [c for c in (id_col, text_col) if c not in raw.columns]
+        missing = [c for c in (id_col, text_col) if c is not None and c not in raw.columns]
         if missing:
             raise ValueError(f"{path}: no column {', '.join(missing)}")
+        if id_col is None:
+            used = [c for c in raw.columns if c == text_col or c in _mentioned(source, raw)]
+            raw, id_col = with_position(raw.select(used), "_position"), "_position"
         docs = raw.withColumns(
             {"doc_id": F.col(id_col).cast("long"), "text": F.col(text_col).cast("string")}
         )
@@ -51,6 +54,13 @@ def read_corpus(
     return docs.select("doc_id", named.cast("string").alias("source"), "text")
 
 
+def _mentioned(source: str | Column | None, raw: DataFrame) -> list[str]:
+    """Columns that the name of the corpus may come from."""
+    if source is None:
+        return ["source"]
+    return [] if isinstance(source, str) else raw.columns
+
+
 def union_corpora(*corpora: DataFrame) -> DataFrame:
     """Several corpora as one, in the order given, with ids of their own.
 

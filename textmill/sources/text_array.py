@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.operators import ordering
+from textmill.sources.positions import with_position
 
 
 def save_text_array(
@@ -29,41 +29,47 @@ def save_text_array(
 def load_text_array(spark: SparkSession, path: str) -> DataFrame:
     """``(pos, value)`` of a directory written by :func:`save_text_array`, any size.
 
-    Files are split among tasks, and the lines stay where they are read: their position is
-    the row in the split plus the number of lines of all splits before, by the file's
-    number and place in the file. Only those sums, one row per split, are ordered, in two levels.
+    Files are split among tasks, and the lines stay where they are read.
     """
-    lines = spark.read.text(path, lineSep="\n").select(
-        "value",
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    number = F.regexp_extract("_file", r"part-(\d+)", 1).try_cast("long")
-    splits = lines.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_lines"), F.min("_row").alias("_first")
-    )
-    placed = splits.withColumn("_stretch", F.floor(F.coalesce(number, F.lit(-1)) / 1_000))
-    starts = ordering.running_totals(
-        placed.withColumn("_number", number),
-        {"_before": F.col("_lines")},
-        order=["_number", "_file", "_block"],
-        bucket="_stretch",
-    ).select("_file", "_block", "_first", "_before")
-    joined = ordering.null_safe_join(lines, starts, ["_file", "_block"])
-    place = F.col("_before") + F.col("_row") - F.col("_first")
-    return joined.select(place.cast("long").alias("pos"), "value")
+    return with_position(spark.read.text(path, lineSep="\n"), by_part=True)
 
 
 def load_text_file(spark: SparkSession, path: str) -> DataFrame:
-    """``(pos, value)`` of one file, split at line feeds only.
+    """``(pos, value)`` of one file of any size, split at line feeds only.
 
     Exact to the last character: a closing line feed gives a last empty string and an
-    empty file one empty string. The file is read as a whole, so it has to fit a task.
+    empty file one empty string. Tasks read byte ranges; a line belongs to the one in which it begins. Only
+    the file's first three bytes and its last one are looked at here.
     """
-    files = spark.read.format("binaryFile").load(path)
-    if files.isEmpty():  # empty files give no row
-        return spark.createDataFrame([(0, "")], "pos int, value string")
-    return files.select(F.decode("content", "UTF-8").alias("value")).select(
-        F.posexplode(F.split("value", "\n", -1)).alias("pos", "value")
-    )
+    head, last, size = _ends(spark, path)
+    lines = with_position(spark.read.text(path, lineSep="\n"))
+    if head == _MARK:  # the line reader drops it, a text split at line feeds keeps it
+        lines = lines.withColumn("value", F.concat(F.when(F.col("pos") == 0, "\ufeff").otherwise(""), "value"))
+    mark_alone = head == _MARK and size == len(_MARK)
+    if last not in (b"", b"\n") and not mark_alone:
+        return lines
+    closing = lines.agg(F.count(F.lit(1)).alias("pos"), F.lit("\ufeff" if mark_alone else "").alias("value"))
+    return lines.unionByName(closing)
+
+
+_MARK = b"\xef\xbb\xbf"
+
+
+def _ends(spark: SparkSession, path: str) -> tuple[bytes, bytes, int]:
+    """A file's first three bytes, its last one and its size."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = system.getFileStatus(place).getLen()
+    stream = system.open(place)
+
+    def byte() -> bytes:
+        value = stream.read()
+        return b"" if value < 0 else bytes([value])
+
+    try:
+        head = byte() + byte() + byte()
+        if size:
+            stream.seek(size - 1)
+        return head, byte() if size else b"", size
+    finally:
+        stream.close()
