@@ -35,6 +35,22 @@ def split_pieces_with_control(
     return once(text, cut)
 
 
+#: A word that ends before a blank and a word: no piece of the named patterns crosses such a place.
+_WORD_END = r"(?<=[A-Za-z])(?= [A-Za-z])"
+
+
+def text_stretches(text: Column, characters: int, pattern: str = "gpt2") -> Column:
+    """A text longer than ``characters`` cut where no piece is, into stretches a little longer; else the text alone.
+
+    Their pieces in order are the text's. Texts without a word of ASCII letters before another, and those
+    for patterns of one's own, are not cut.
+    """
+    if pattern not in tables.SPLIT_PATTERNS:
+        return F.array(text)
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{{characters},}}?{_WORD_END}|.+"), F.lit(0))
+    return F.when(F.length(text) > characters, parts).otherwise(F.array(text))
+
+
 def utf8_bytes(text: Column) -> Column:
     """The UTF-8 bytes of a text that is not empty, as ``ARRAY<INT>``.
 

@@ -5,6 +5,9 @@ ids are put together again per document. Documents are partitioned by their id f
 its pieces then stay together and the text, far smaller than its pieces, is all that
 is shuffled. ``partitioned=True`` says that they already are, as after
 :func:`textmill.sources.corpus.by_document`.
+
+Pieces come together in two levels: those of a stretch of a document first, then the stretches' ids. A long text is
+cut before its pieces are made, so that no row or group holds more pieces than a stretch has.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from textmill.sources.corpus import by_document
 
 DICTIONARY_ROWS = 65_536
 DICTIONARY_PIECE_BYTES = 128
+STRETCH_CHARACTERS = 1 << 16
+STRETCH_TOKENS = 1 << 16
 
 
 def _control_rows(spark, first_id: int, family: str) -> DataFrame:
@@ -37,11 +42,13 @@ def _together(docs: DataFrame, key: str, partitioned: bool) -> DataFrame:
 def _piece_rows(
     docs: DataFrame, keys: Sequence[str], text: str, pattern: str, family: str
 ) -> DataFrame:
-    """One row per piece; a document without pieces keeps one row without a piece."""
-    cut = P.split_pieces_with_control(F.col(text), pattern, family)
-    # a projection of its own keeps the generator inside generated code
-    return docs.select(*keys, cut.alias("_pieces")).select(
-        *keys, F.posexplode_outer("_pieces").alias("pos", "piece")
+    """One row per piece, with its stretch; a document without pieces keeps one row without a piece."""
+    stretches = P.text_stretches(F.col(text), STRETCH_CHARACTERS, pattern)
+    cut = P.split_pieces_with_control(F.col("_part"), pattern, family)
+    # projections of their own keep the generators inside generated code
+    parts = docs.select(*keys, F.posexplode(stretches).alias("stretch", "_part"))
+    return parts.select(*keys, "stretch", cut.alias("_pieces")).select(
+        *keys, "stretch", F.posexplode_outer("_pieces").alias("pos", "piece")
     )
 
 
@@ -51,6 +58,12 @@ def _in_order(*values: str) -> Column:
     return F.sort_array(F.collect_list(part))
 
 
+def _whole(parts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(*keys, value)``: the arrays of a document's stretches, one after the other."""
+    listed = F.sort_array(F.collect_list(F.struct("stretch", value)))
+    return parts.groupBy(*keys).agg(F.flatten(listed[value]).alias(value))
+
+
 def _found(
     docs: DataFrame,
     vocabulary: DataFrame,
@@ -100,8 +113,9 @@ def encode_with_vocabulary(
     ids = F.when(F.col("id").isNotNull(), F.array("id")).when(
         F.col("piece").isNotNull(), P.utf8_bytes(F.col("piece"))
     )
-    parts = found.withColumn("ids", ids).groupBy(*keys).agg(_in_order("ids").alias("parts"))
-    return parts.select(*keys, F.flatten(F.col("parts")["ids"]).alias("tokens"))
+    parts = found.withColumn("ids", ids).groupBy(*keys, "stretch").agg(_in_order("ids").alias("parts"))
+    flat = parts.select(*keys, "stretch", F.flatten(F.col("parts")["ids"]).alias("tokens"))
+    return _whole(flat, keys, "tokens")
 
 
 def vocabulary_sizes(
@@ -243,7 +257,7 @@ def encode_with_ranks(
         .join(known, "piece", "left")
         .withColumn("miss", F.when(F.col("ids").isNull(), F.col("piece")))
     )
-    grouped = looked_up.groupBy(*keys).agg(
+    grouped = looked_up.groupBy(*keys, "stretch").agg(
         _in_order("ids").alias("hits"), _in_order("miss").alias("misses")
     )
     merge = _merge_udf(ranks)
@@ -256,7 +270,8 @@ def encode_with_ranks(
             lambda pos, ids: F.struct(pos.alias("pos"), ids.alias("ids")),
         ),
     )
-    return merged.select(*keys, F.flatten(F.sort_array(parts)["ids"]).alias("tokens"))
+    flat = merged.select(*keys, "stretch", F.flatten(F.sort_array(parts)["ids"]).alias("tokens"))
+    return _whole(flat, keys, "tokens")
 
 
 def add_document_ends(
@@ -301,7 +316,7 @@ def _spelled(
     partitioned: bool,
     unknown: str,
 ) -> DataFrame:
-    """Per document the ordered ``(pos, id, raw)`` of its tokens; ``raw`` is text of any bytes."""
+    """Per stretch of a document the ordered ``(pos, id, raw)`` of its tokens; ``raw`` is text of any bytes."""
     first = ranks_size(ranks) if first is None else first
     together = _together(encoded.select(*keys, tokens), keys[0], partitioned)
     rows = together.select(*keys, F.posexplode_outer(tokens).alias("pos", "id")).join(
@@ -319,7 +334,8 @@ def _spelled(
             F.col("token").cast("string")
         ),
     )
-    return spelled.groupBy(*keys).agg(_in_order("id", "raw").alias("parts"))
+    stretch = F.coalesce(F.floor(F.col("pos") / STRETCH_TOKENS), F.lit(0)).alias("stretch")
+    return spelled.groupBy(*keys, stretch).agg(_in_order("id", "raw").alias("parts"))
 
 
 def decode(
@@ -340,8 +356,10 @@ def decode(
     keys = [id_col, *keep]
     joined = F.concat_ws("", F.col("parts")["raw"])
     spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned, unknown)
-    return spelled.select(
-        *keys, F.make_valid_utf8(joined).alias("text")
+    # a character may lie across two stretches: only the whole is made valid
+    parts = spelled.select(*keys, "stretch", F.array(joined).alias("raw"))
+    return _whole(parts, keys, "raw").select(
+        *keys, F.make_valid_utf8(F.concat_ws("", "raw")).alias("text")
     )
 
 
@@ -368,6 +386,4 @@ def words(
         ),
     )
     spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned, unknown)
-    return spelled.select(
-        *keys, pairs.alias("words")
-    )
+    return _whole(spelled.select(*keys, "stretch", pairs.alias("words")), keys, "words")

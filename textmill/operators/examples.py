@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from textmill import tables
 from textmill.operators import ordering
 
+ROWS_PER_BUCKET = 1 << 14
+MOST_DIGITS = 7
+
 
 def _piece_of(tokens: str, start: str, block: Column, length: int) -> Column:
     """Tokens of a document that fall into block positions ``[block*L, block*L + L]``."""
@@ -102,25 +105,32 @@ def shuffled_batches(
     seed: int | str = 0,
     key: Sequence[str] = ("split", "block"),
     within: Sequence[str] = ("split",),
-    bucket_digits: int = 4,
+    bucket_digits: int | None = None,
 ) -> DataFrame:
     """Every example once per epoch, in a fresh random order: ``epoch, batch, slot``.
 
     Batches are numbered inside each group of ``within``: training and validation never mix.
     Columns of ``key`` and ``within`` that the table lacks are left out.
     The order is that of a hash of example, epoch and seed. Hash prefixes are the buckets
-    of the numbering: 65,536 per epoch, of even size whatever the examples are.
+    of the numbering, of even size whatever the examples are; there are as many as the examples need at about
+    ``ROWS_PER_BUCKET`` each, unless ``bucket_digits`` says how many hexadecimal digits a prefix has. Batches
+    do not depend on it. ``examples`` should be a stored table, it is read three times.
     """
     key = [c for c in key if c in examples.columns]
     within = [c for c in within if c in examples.columns]
+    if bucket_digits is None:
+        bucket_digits = 0
+        rows = examples.select(*key).count()
+        while bucket_digits < MOST_DIGITS and rows > ROWS_PER_BUCKET * 16**bucket_digits:
+            bucket_digits += 1
     order_key = ordering.hash_key(*key, "epoch", seed=seed)
     keyed = (
         examples.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_order", order_key)
-        .withColumn("_bucket", ordering.hash_bucket(F.col("_order"), bucket_digits))
+        .withColumn("_bucket", ordering.hash_bucket(F.col("_order"), bucket_digits) if bucket_digits else F.lit(0))
     )
     numbered = ordering.row_index(
-        keyed, ["_order", *key], "_bucket", within=[*within, "epoch"], name="_row", few_buckets=True
+        keyed, ["_order", *key], "_bucket", within=[*within, "epoch"], name="_row"
     )
     return numbered.select(
         *examples.columns,

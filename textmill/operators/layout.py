@@ -107,7 +107,6 @@ def offsets(
         order=[id_col],
         bucket="_bucket",
         within=["split"],
-        few_buckets=True,
     ).drop("_bucket")
     # one row per split
     documents = docs.groupBy("split").agg(F.count(F.lit(1)).alias("_documents"))

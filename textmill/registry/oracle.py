@@ -297,6 +297,26 @@ def mix(relation: str) -> str:
     FROM {relation} GROUP BY ROLLUP (source)"""
 
 
+by_source = """indexed AS (
+    SELECT source AS corpus, CASE source WHEN 'src0' THEN 1.0 WHEN 'src1' THEN 0.5 WHEN 'src2' THEN 2.25 ELSE 1.0 END AS f, doc_id,
+        length(text)::INTEGER AS size,
+        coalesce(sum(length(text)) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    FROM documents)"""
+
+
+def mixed(indexed: str) -> str:
+    """CTEs up to ``streamed``: whole copies, a part by tokens in hash order, interleaved by hash."""
+    return f"""cut AS (
+        SELECT *, sum(size) OVER (PARTITION BY corpus ORDER BY md5(corpus || '-' || doc_id || '-{SEED}'), doc_id) - size AS before,
+            sum(size) OVER (PARTITION BY corpus) AS total FROM {indexed}),
+    copied AS (
+        SELECT corpus, doc_id, start AS source_start, size,
+            unnest(range(1, floor(f)::BIGINT + 1 + CASE WHEN before < (f - floor(f)) * total THEN 1 ELSE 0 END))::INTEGER AS copy FROM cut),
+    streamed AS (
+        SELECT *, (sum(size) OVER (ORDER BY md5(corpus || '-' || doc_id || '-' || copy || '-{SEED}'), corpus, doc_id, copy) - size)::BIGINT AS start
+        FROM copied)"""
+
+
 def sql() -> dict[str, str]:
     readable = tables.READABLE_CONTROL
     custom = tables.CONTROL_TOKENS["custom"]
@@ -454,6 +474,16 @@ def sql() -> dict[str, str]:
                         / 4294967296.0::DOUBLE AS h FROM documents)
             SELECT doc_id, source, unnest(range(1, floor(f)::BIGINT + 1
                 + CASE WHEN h < f - floor(f) THEN 1 ELSE 0 END))::INTEGER AS copy FROM factors""",
+        "mixed_stream_entries": f"""WITH {by_source}, {mixed('indexed')}
+            SELECT corpus, doc_id, copy, source_start, size, start FROM streamed""",
+        "mixed_stream_shares": f"""WITH {by_source}, {mixed('indexed')}
+            SELECT corpus, count(*) AS documents, sum(size)::BIGINT AS tokens,
+                round(sum(size) / sum(sum(size)) OVER (), 6) AS share FROM streamed GROUP BY corpus""",
+        "mixed_stream_tokens": f"""WITH {STREAM}, kept AS (SELECT * FROM stored WHERE split = 'train'),
+            indexed AS (
+                SELECT corpus, f, doc_id, start, size FROM kept, (VALUES ('twice', 2.0), ('half', 0.5)) AS c(corpus, f)),
+            {mixed('indexed')}
+            SELECT corpus, s.doc_id, copy, s.size, s.start, tokens FROM streamed AS s JOIN kept USING (doc_id)""",
         "next_token_examples": f"""WITH {STREAM}, {XS}
             SELECT split, block, array_to_string(x, ' ') AS x, array_to_string(y, ' ') AS y FROM xy""",
         "padded_examples": f"""WITH {STREAM}, {XS}

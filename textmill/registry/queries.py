@@ -20,6 +20,7 @@ from textmill.operators import (
     examples,
     layout,
     metrics,
+    mixing,
     ordering,
     vocabulary,
 )
@@ -29,6 +30,7 @@ from textmill.sources import corpus, ranks, text_array, token_store
 
 VOCAB = 4_096  # small enough that byte fallback occurs
 SEED = 17
+MULTIPLIERS = {"src0": 1.0, "src1": 0.5, "src2": 2.25}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -622,6 +624,38 @@ def repeat_documents(spark, sf):
     return repeated.select("doc_id", "source", "copy")
 
 
+def _source_index(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The documents of each source as a corpus of its own, its index and multipliers."""
+    sized = _sized(spark, sf).select(F.col("source").alias("split"), "doc_id", "size")
+    placed = layout.offsets(sized).select(F.col("split").alias("corpus"), "doc_id", "start", "size")
+    names = placed.select("corpus").distinct()
+    factor = layout.multiplier_of(F.col("corpus"), MULTIPLIERS, default=1.0)
+    return placed, names.select("corpus", factor.alias("multiplier"))
+
+
+@query
+def mixed_stream_entries(spark, sf):
+    """A training stream of all sources by their multipliers, from index entries alone."""
+    return mixing.stream_entries(*_source_index(spark, sf), seed=SEED)
+
+
+@query
+def mixed_stream_shares(spark, sf):
+    """Tokens of each source in the stream: its own times the multiplier, to within a document."""
+    return mixing.shares(mixing.stream_entries(*_source_index(spark, sf), seed=SEED))
+
+
+@query
+def mixed_stream_tokens(spark, sf):
+    """Two stored corpora as one stream of tokens, with copies by their stored multipliers."""
+    paths = {}
+    for name, multiplier in (("twice", 2.0), ("half", 0.5)):
+        paths[name] = _folder(spark, name)
+        token_store.save_corpus(_encoded(spark, sf, ratio=0.1), paths[name], name, multiplier=multiplier, max_shards=8)
+    found = mixing.mixed_stream(spark, paths, seed=SEED)
+    return found.select("corpus", "doc_id", "copy", "size", "start", F.concat_ws(" ", "tokens").alias("tokens"))
+
+
 # --- examples and chat ------------------------------------------------------
 
 
@@ -656,7 +690,8 @@ def padded_examples(spark, sf):
 
 @query
 def shuffled_batches(spark, sf):
-    batches = examples.shuffled_batches(_examples(spark, sf), epochs=2, seed=SEED)
+    held = stored(_examples(spark, sf), "examples")
+    batches = examples.shuffled_batches(held, epochs=2, seed=SEED)
     return _joined(batches.select("split", "epoch", "batch", "slot", "block", "x"), "x")
 
 
