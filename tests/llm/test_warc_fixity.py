@@ -35,3 +35,16 @@ def test_records(spark):
     head, _, body = raw.partition(b"\r\n\r\n")
     assert raw.startswith(b"WARC/1.0\r\n") and len(raw) == rows[1].length and b"Content-Length: 5" in head and body == "é<p>\r\n\r\n".encode()
     assert W.warc_records(pages.limit(0)).count() == 0
+
+
+def test_hot_and_null_ids(spark):
+    """Offsets of many rows of one id, or of none, are gapless."""
+    rows = [(None, f"u{i}", "a" * (i % 7)) for i in range(300)] + [(7, f"u{i}", "b" * (i % 5)) for i in range(300)] + [(8, "u", "c")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    ends = {}
+    for r in sorted(W.record_hashes(pages).collect(), key=lambda r: (r.file, r.offset)):
+        assert r.offset == ends.get(r.file, 0)
+        ends[r.file] = r.offset + r.length
+    assert sorted(ends) == [-1, 0]
+    found = W.report(pages)
+    assert found.count() == 0 and W.report(pages.limit(0)).count() == 0

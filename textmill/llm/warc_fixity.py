@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.operators import ordering
 from textmill.session import stored
 
 RANGE = 1 << 16
@@ -25,10 +26,10 @@ PER_FILE = 500
 EMPTY = ["file", "node"]
 
 
-def warc_records(pages: DataFrame, per_file: int = PER_FILE) -> DataFrame:
-    """Pages as WARC/1.0 resource records ``(file, offset, length, page_id, record)``, in id order in files of ids."""
+def record_of(pages: DataFrame) -> Column:
+    """A page as a WARC/1.0 resource record."""
     body = F.coalesce(F.col("html"), F.lit(""))
-    head = F.concat(
+    return F.concat(
         F.lit("WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"),
         F.coalesce(F.col("page_id").cast("string"), F.lit("none")),
         F.lit(">\r\nWARC-Target-URI: "),
@@ -36,21 +37,36 @@ def warc_records(pages: DataFrame, per_file: int = PER_FILE) -> DataFrame:
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(body).cast("string"),
         F.lit("\r\n\r\n"),
+        body,
+        F.lit("\r\n\r\n"),
     )
+
+
+def record_hashes(pages: DataFrame, per_file: int = PER_FILE, **more: Column) -> DataFrame:
+    """Pages as records ``(file, offset, length, page_id, hash, *more)``, in the order of id and hash, in files of ids.
+
+    ``more`` are columns made from ``record``, which is not shuffled itself. Offsets are running sums in two levels: rows of one id, or without an id, are spread by their hashes.
+    """
     made = pages.select(
-        F.coalesce(F.floor(F.col("page_id") / per_file), F.lit(-1)).cast("long").alias("file"),
-        "page_id",
-        F.concat(head, body, F.lit("\r\n\r\n")).alias("record"),
-    ).withColumn("length", F.octet_length("record").cast("long"))
-    order = Window.partitionBy("file").orderBy("page_id", "record").rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum("length").over(order), F.lit(0))
-    return made.select("file", offset.alias("offset"), "length", "page_id", "record")
+        F.coalesce(F.floor(F.col("page_id") / per_file), F.lit(-1)).cast("long").alias("file"), "page_id", record_of(pages).alias("record")
+    )
+    narrow = made.select("file", "page_id", F.octet_length("record").cast("long").alias("length"), F.sha2("record", 256).alias("hash"), *[c.alias(n) for n, c in more.items()])
+    place = F.coalesce(F.pmod("page_id", F.lit(per_file)), F.lit(0)).cast("long")
+    stretch = (place * 256 + F.conv(F.substring("hash", 1, 2), 16, 10).cast("long")).alias("_stretch")
+    held = stored(narrow.select("*", stretch), "lengths")
+    placed = ordering.running_totals(held, {"offset": F.col("length")}, order=["page_id", "hash"], bucket="_stretch", within=["file"])
+    return placed.select("file", "offset", "length", "page_id", "hash", *more)
+
+
+def warc_records(pages: DataFrame, per_file: int = PER_FILE) -> DataFrame:
+    """Pages as WARC/1.0 resource records ``(file, offset, length, page_id, record)``, whole records in place."""
+    return record_hashes(pages, per_file, record=F.col("record")).drop("hash")
 
 
 def leaves(records: DataFrame) -> DataFrame:
-    """``(file, offset, length, hash, node)`` of each record; ``node`` is its range."""
+    """``(file, offset, length, hash, node)`` of each record; ``node`` is its range. Rows without ``record`` are hashed already."""
     node = F.coalesce(F.floor(F.col("offset") / RANGE), F.lit(0)).cast("long")
-    digest = F.sha2(F.coalesce(F.col("record"), F.lit("")), 256)
+    digest = F.sha2(F.coalesce(F.col("record"), F.lit("")), 256) if "record" in records.columns else F.col("hash")
     return records.select("file", "offset", "length", digest.alias("hash"), node.alias("node"))
 
 
@@ -119,12 +135,21 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
-def damaged(records: DataFrame) -> DataFrame:
-    """A replica with losses at known places: one byte changed, a record cut short, a record gone."""
-    n = F.pmod("page_id", F.lit(400))
-    changed = F.concat(F.expr("substring(record, 1, 120)"), F.lit("~"), F.expr("substring(record, 122)"))
-    record = F.when(n == 3, changed).when(n == 57, F.expr("substring(record, 1, 90)")).otherwise(F.col("record"))
-    return records.filter(F.coalesce(n != 211, F.lit(True))).withColumn("record", record).withColumn("length", F.octet_length("record").cast("long"))
+def damage(record: Column, page_id: Column) -> Column:
+    """Losses at known places: one byte changed, a record cut short, a record gone (null)."""
+    n = F.pmod(page_id, F.lit(400))
+    changed = F.concat(F.substring(record, 1, 120), F.lit("~"), F.substr(record, F.lit(122)))
+    kept = F.when(n == 3, changed).when(n == 57, F.substring(record, 1, 90)).otherwise(record)
+    return F.when(F.coalesce(n != 211, F.lit(True)), kept)
+
+
+def report(pages: DataFrame) -> DataFrame:
+    """The pages as records, audited against a replica with losses at known places."""
+    copy = damage(F.col("record"), F.col("page_id"))
+    rows = record_hashes(pages, other_length=F.octet_length(copy).cast("long"), other_hash=F.sha2(copy, 256))
+    rows = stored(rows, "records")
+    other = rows.filter("other_hash IS NOT NULL").select("file", "offset", F.col("other_length").alias("length"), F.col("other_hash").alias("hash"))
+    return audit(rows, other)
 
 
 SQL = f"""
