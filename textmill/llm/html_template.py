@@ -8,11 +8,13 @@ once in every page is its root: its elements are the fixed containers, the text
 tokens fills the slots between them. Of each container the host's pages give the amount of slot text, with and
 without links. The main region is the root's article or main element, or else the whole page; containers
 that hold mostly links are menus. A second pass takes the
-slots of that region from every page, without menus outside articles, without fixed text (in articles: blocks of nothing else) and without parts that say what they
-are by element or class name.
+slots of that region from every page, without menus outside articles, without fixed text and without parts that say what they
+are by element or class name. Inside articles fixed text goes only with a container that holds nothing else in any page
+of the host; a paragraph that all articles share stays among their own. Hosts with fewer than
+``FIXED_PAGES`` different pages are too small to tell fixed text.
 
 Null and empty html gives an empty text. A page alone on its host, and one with a null url, is read with its
-own template. Hosts may be of any size: nothing is gathered by host but sums. Rows are read each on
+own template. Hosts may be of any size: gathered by host are sums, and what occurs once in every page. Rows are read each on
 its own, repeated ids too; equal pages of a host count once when fixed text is sought. An empty table gives an empty result. Other columns than id, url and html are not read.
 """
 
@@ -34,6 +36,7 @@ from textmill.session import stored
 #: which the pages are near copies and none of it counts, and least share of links in a menu.
 FIXED_PAGES, COPIES, MENU = 4, 0.5, 0.7
 CHUNK = 4 << 20
+SALTS = 16
 
 # Elements by role, and words in class names of parts that are no article text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -331,7 +334,11 @@ def valid_classes(tokens: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """One row per host: ``region`` (path of the main region), ``menus`` (paths), ``fixed`` and ``notices`` (text tokens)."""
+    """One row per host: ``region`` (path of the main region), ``menus`` (paths), ``fixed`` and ``notices`` (text tokens), and
+    ``parts``: the containers inside articles that stand once in every page, with the text of all pages in them.
+
+    All of these occur once in every page, so none is longer than a page.
+    """
     # copies of a page say nothing about what is fixed
     copies = pages.groupBy("host", F.xxhash64("html").alias("copy")).agg(F.count("*").alias("n"))
     count = copies.groupBy("host").agg(F.sum("n").alias("host_pages"), F.count("*").alias("distinct_pages"))
@@ -343,8 +350,11 @@ def templates(pages: DataFrame) -> DataFrame:
     rank = F.struct((-depth).alias("depth"), F.col("text"), F.col("path"))
     # without such an element all slots belong to the text, wherever they lie
     region = root.filter(last.isin(*ARTICLES) & (F.col("text") > 0)).groupBy("host").agg(F.max(rank)["path"].alias("region"))
-    listed = valid.filter((F.col("path") != "") & last.isin("ul", "ol", "dl", "div", "table", "section") & (F.col("text") > 0) & (F.col("links") >= MENU * F.col("text")))
+    listed = root.filter((F.col("path") != "") & last.isin("ul", "ol", "dl", "div", "table", "section") & (F.col("text") > 0) & (F.col("links") >= MENU * F.col("text")))
     menus = listed.groupBy("host").agg(F.collect_set("path").alias("menus"))
+    within = F.exists(F.slice(F.split("path", "/"), 1, F.size(F.split("path", "/")) - 1), lambda p: F.split(p, r"\.")[0].isin(*ARTICLES))
+    held = root.filter((F.col("path") != "") & ~last.isin(*ARTICLES) & (F.col("text") > 0) & within)
+    parts = held.groupBy("host").agg(F.collect_list(F.struct("path", "text")).alias("parts"), F.max("host_pages").alias("host_pages"))
     # inside articles a fixed piece often stands in one of many like elements, which is no valid place in the template
     once = (F.col("pages") == F.col("host_pages")) & (F.col("total") == F.col("pages"))
     placed = valid.filter(F.col("path") == "").select("host", "token", F.lit(True).alias("valid"))
@@ -355,21 +365,42 @@ def templates(pages: DataFrame) -> DataFrame:
         F.collect_set(F.when(F.col("valid"), F.col("token"))).alias("fixed"), F.collect_set("token").alias("notices"), F.sum("text").alias("alike")
     )
     fixed = alike.join(every, "host").filter(F.col("alike") <= COPIES * F.col("every")).select("host", "fixed", "notices")
-    return count.select("host").join(region, "host", "left").join(menus, "host", "left").join(fixed, "host", "left")
+    return count.select("host").join(region, "host", "left").join(menus, "host", "left").join(fixed, "host", "left").join(parts, "host", "left")
 
 
 def _in_article(path: tuple[str, ...]) -> bool:
     return any(p.split(".")[0] in ARTICLES for p in path)
 
 
-def main_text(html: str, region: str | None, menus: set[str], fixed: set[int], notices: set[int] = frozenset()) -> str:
+def _own_parts(found: list, notices: set[int], parts: dict[str, int], host_pages: int) -> set[str]:
+    """The page's containers inside articles that hold nothing but notices, in this page and in every other of the host.
+
+    A container with more text in some page has more in all than this page's times their number.
+    """
+    chars: dict[str, list[int]] = {}
+    for kind, path, text, noise in found:
+        piece = " ".join(text.split()) if kind == "text" and not noise else ""
+        if piece:
+            known = _signed(_hash("/".join(path), piece)) in notices
+            for k in range(2, len(path) + 1):
+                own = "/".join(path[:k])
+                if own in parts:
+                    held = chars.setdefault(own, [0, 0])
+                    held[0] += len(piece)
+                    held[1] += len(piece) * known
+    return {p for p, (every, known) in chars.items() if every == known and every * host_pages == parts[p]}
+
+
+def main_text(html: str, region: str | None, menus: set[str], fixed: set[int], notices: set[int] = frozenset(), parts: dict[str, int] | None = None, host_pages: int = 0) -> str:
     """The blocks of the region's slots, joined by line feeds.
 
-    Inside articles a block goes if all its text is in ``notices``; headings and labels of cells stay.
+    Inside articles a block goes if all its text is in ``notices`` and it lies in a container of ``parts`` that holds nothing
+    else in any page; a repeated block among the article's own stays, and so do headings and labels of cells.
     """
     found = list(pieces(html))
     sizes = [(len(text.strip()), _in_article(path)) for kind, path, text, noise in found if kind == "text" and not noise]
     whole, inner = sum(n for n, _ in sizes), sum(n for n, within in sizes if within)
+    apart = _own_parts(found, notices, parts or {}, host_pages) if notices and parts else set()
     # a page that holds nothing but fixed text keeps it
     passes = [(where, known) for where in dict.fromkeys((region, None)) for known in ((True, False) if fixed or notices else (True,))]
     for where, known in passes:
@@ -403,7 +434,8 @@ def main_text(html: str, region: str | None, menus: set[str], fixed: set[int], n
                     token = _signed(_hash("/".join(path), piece))
                     if not article and token in fixed:
                         continue
-                    own[0] = own[0] or not article or token not in notices or not LABELS.isdisjoint(p.split(".")[0] for p in path)
+                    gone = article and token in notices and any("/".join(path[:k]) in apart for k in range(2, len(path) + 1))
+                    own[0] = own[0] or not gone or not LABELS.isdisjoint(p.split(".")[0] for p in path)
                 else:
                     own[0] = own[0] or bool(piece)
                 line.append(text)
@@ -417,7 +449,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of every page."""
     placed = hosts(pages)
     found = stored(templates(placed), "templates")
-    joined = placed.join(found, "host", "left").select("page_id", "url", "html", "region", "menus", "fixed", "notices")
+    # a host may hold a third of all pages: they are dealt to several tasks
+    salts = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = placed.withColumn("_salt", F.pmod(F.xxhash64("html", "page_id"), F.lit(SALTS)).cast("int"))
+    joined = dealt.join(salts, ["host", "_salt"], "left").select("page_id", "url", "html", "region", "menus", "fixed", "notices", "parts", "host_pages")
     kind = pages.schema["page_id"].dataType.simpleString()
 
     def run(batches):
@@ -425,8 +460,8 @@ def extract(pages: DataFrame) -> DataFrame:
             names = batch.schema.names
             for a, b in words.slices(words.byte_sizes(batch.column(names.index("html"))), CHUNK):
                 part = batch.slice(a, b - a)
-                rows = zip(*(part.column(names.index(c)).to_pylist() for c in ("html", "region", "menus", "fixed", "notices")))
-                texts = [main_text(h or "", r, set(m or ()), set(f or ()), set(n or ())) for h, r, m, f, n in rows]
+                rows = zip(*(part.column(names.index(c)).to_pylist() for c in ("html", "region", "menus", "fixed", "notices", "parts", "host_pages")))
+                texts = [main_text(h or "", r, set(m or ()), set(f or ()), set(n or ()), {x["path"]: x["text"] for x in p or ()}, k or 0) for h, r, m, f, n, p, k in rows]
                 size = np.array([len(t) for t in texts], np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(names.index("page_id")), part.column(names.index("url")), pa.array(texts, pa.string()), pa.array(size)], names=["page_id", "url", "text", "n_chars"])
 
