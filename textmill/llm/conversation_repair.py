@@ -379,3 +379,80 @@ def report(table: DataFrame, least: int = LEAST_BLOCK) -> DataFrame:
     return everything.groupBy("conv_id").agg(
         *[value(n, 0) for n in numbers], value("audit", ""), value("repaired_sha256", hashlib.sha256(b"").hexdigest())
     )
+
+
+def _sql() -> str:
+    """What :func:`report` returns, backwards row by row with whole strings."""
+
+    def least(*found: str) -> str:
+        return f"list_sort([{', '.join(found)}])[1]"
+
+    def state(cost: str, letters: str, lines: str) -> str:
+        return f"{{'c': {cost}, 'a': {letters}, 'r': {lines}}}"
+
+    names = ["user", "user", "assistant", "user"]
+    far = "NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR)"
+    based, once = [], []
+    for s in range(4):
+        nxt = int(NEXT[s])
+        delete = state(f"s{s}.c + {DELETE}", f"'D' || s{s}.a", f"s{s}.r")
+        keeps = [
+            f"CASE WHEN NOT goes AND initial = '{'sua'[i]}' THEN {state(f's{t}.c + cut', f"'K' || s{t}.a", f"role || ':' || text || chr(10) || s{t}.r")} ELSE {far} END"
+            for i, t in enumerate(KEEP[s][:3].tolist())
+            if t >= 0
+        ]
+        rerole = f"CASE WHEN NOT goes THEN {state(f's{nxt}.c + {REROLE} + cut', f"'R' || s{nxt}.a", f"'{names[s]}:' || text || chr(10) || s{nxt}.r")} ELSE {far} END"
+        based.append(f"list_sort(list_filter([{', '.join([delete, *keeps, rerole])}], lambda x: x IS NOT NULL))[1] AS s{s}")
+        inserted = state(f"s{nxt}.c + {INSERT}", f"'I' || s{nxt}.a", f"'{names[s]}:' || chr(10) || s{nxt}.r")
+        once.append(f"{least(f's{s}', inserted)} AS s{s}")
+    end = [
+        state("0::BIGINT", "''", "''"),
+        state("4::BIGINT", "'II'", "'user:' || chr(10) || 'assistant:' || chr(10)"),
+        state("2::BIGINT", "'I'", "'assistant:' || chr(10)"),
+        state("0::BIGINT", "''", "''"),
+    ]
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) AS r(i)
+), marked AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ord(x)::BIGINT),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS kind
+  FROM conversations, steps
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM marked WHERE kind <> 0
+), ordered AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, {blanks}) AS inside,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+  FROM damaged
+), judged AS (
+  SELECT *, CASE WHEN inside = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(inside, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair
+  FROM ordered
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv_id
+), walked AS (
+  SELECT conv_id, n + 1 AS n, {', '.join(f'{e} AS s{k}' for k, e in enumerate(end))} FROM counts
+  UNION ALL
+  SELECT conv_id, n, {', '.join(once)} FROM (SELECT conv_id, n, {', '.join(once)} FROM (
+    SELECT w.conv_id, j.n, {', '.join(based)}
+    FROM (SELECT * FROM walked WHERE n > 1) AS w JOIN (
+      SELECT conv_id, n, role, text, initial, fault IN ('blank', 'duplicate') AS goes, CASE WHEN fault = 'truncated' THEN {CUT} ELSE 0 END AS cut FROM judged) AS j
+      ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND w.n = j.n + 1))
+)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(s0.c, 0) AS cost, coalesce(s0.a, '') AS audit, sha256(coalesce(left(s0.r, length(s0.r) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN counts ON c.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN walked ON c.conv_id IS NOT DISTINCT FROM walked.conv_id AND walked.n = 1
+"""
+
+
+SQL = _sql()

@@ -104,6 +104,7 @@ def op13_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.report(_table(spark, sf, "embeddings"))
 
 
+SQL["op11_conversation_repair"] = conversation_repair.SQL
 SQL["op13_hard_negatives"] = hard_negatives.SQL
 SQL["op4_near_dedup"] = near_dedup.SQL
 SQL["op9_benchmark_decontamination"] = decontamination.SQL
