@@ -426,11 +426,10 @@ WITH RECURSIVE steps AS (
   FROM marked WHERE kind <> 0
 ), ordered AS (
   SELECT *, left(role, 1) AS initial, rtrim(text, {blanks}) AS inside,
-    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
-    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n
   FROM damaged
 ), judged AS (
-  SELECT *, CASE WHEN inside = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(inside, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+  SELECT *, CASE WHEN inside = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate' WHEN right(inside, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
     lag(initial) OVER (PARTITION BY conv_id ORDER BY n) || initial AS pair
   FROM ordered
 ), counts AS (
