@@ -283,3 +283,15 @@ def test_ids_by_position_do_not_follow_splits(spark, tmp_path):
             assert [t for _, t in found[0]][:600] == [b for b, _ in rows]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_scope_deletes_what_was_stored_inside(spark, tmp_path):
+    outside = session.stored(spark.range(3), "outside")
+    with pytest.raises(RuntimeError), session.scope(spark):
+        inner = session.stored(spark.range(5).withColumn("x", F.col("id") + 1), "inner")
+        (place,) = {os.path.dirname(f.removeprefix("file:").replace("//", "/")) for f in inner.inputFiles()}
+        inner.write.parquet(str(tmp_path / "result"))
+        assert os.path.isdir(place)
+        raise RuntimeError
+    assert not os.path.exists(place)
+    assert outside.count() == 3 and spark.read.parquet(str(tmp_path / "result")).count() == 5

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,12 +56,34 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Folders that :func:`stored` has written and no :func:`scope` has deleted.
+_STORED: list[str] = []
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end all intermediate tables that were stored inside, also after an error.
+
+    What is to stay must be written before the end: a lazy result still reads those tables.
+    """
+    begin = len(_STORED)
+    try:
+        yield
+    finally:
+        paths = _STORED[begin:]
+        del _STORED[begin:]
+        for path in paths:
+            discard(spark, path)
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """Write a table that several later steps read, and read it back.
 
-    Cuts the lineage, survives lost executors and lets each reader load only its columns.
+    Cuts the lineage, survives lost executors and lets each reader load only its columns. The table stays until the
+    :func:`scope` around it ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _STORED.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
