@@ -446,7 +446,8 @@ def train(docs: DataFrame, most: int = SAMPLE, steps: int = STEPS) -> Tagger:
     """A tagger trained on passages of at most ``most`` documents with labelled spans."""
     few = sampling.by_hash(docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL"), "doc_id", most)
     place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - PASSAGE, F.lit(1))) + 1
-    rows = few.select("doc_id", F.substring("text", place.cast("int"), F.lit(PASSAGE)).alias("passage")).collect()
+    passages = few.select("doc_id", F.substring("text", place.cast("int"), F.lit(PASSAGE)).alias("passage"))
+    rows = sampling.one_of_each(passages, "doc_id", "passage").collect()
     passages = [r.passage for r in sorted(rows, key=lambda r: (r.doc_id, r.passage))]
     return Tagger().train(*labelled_windows(passages), steps=steps)
 

@@ -236,7 +236,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Dat
         .agg(F.max("toxic").alias("_toxic"))
     )
     few = sampling.by_hash(known, "doc_id", most).withColumnRenamed("doc_id", "_id")
-    joined = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
+    found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
+    joined = sampling.one_of_each(found, "doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)).cast("int")
     return stored(joined.select("text", F.col("_toxic").cast("int").alias("toxic"), fold.alias("fold")), "training")
 
