@@ -123,9 +123,10 @@ def tokens_at(
         inside = inside | (F.col("split").eqNullSafe(F.lit(name)) & F.col("shard").isin(own))
     opened = read_shards(spark, path).filter(inside)
     if isinstance(ids, DataFrame):
-        # the place in its shard's stream is a document's key, but for empty ones
-        wanted = found.select("shard", "start", "doc_id")
-        opened = opened.join(wanted, ["shard", "start", "doc_id"], "leftsemi")
+        # the place in its split's stream is a document's key, but for empty ones; an empty split is stored as null
+        named = F.coalesce("split", F.lit("")).alias("_split")
+        wanted = found.select(named, "shard", "start", "doc_id")
+        opened = opened.withColumn("_split", named).join(wanted, ["_split", "shard", "start", "doc_id"], "leftsemi")
     else:
         opened = opened.filter(F.col("doc_id").isin([int(i) for i in ids]))
     return opened.select("split", "doc_id", "start", "size", "tokens")
