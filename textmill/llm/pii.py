@@ -2,22 +2,24 @@
 
 The patterns find plain e-mail addresses, IP addresses, card and phone numbers. The network, trained in
 numpy from labelled spans, adds what is written otherwise (``name (at) host.org``, ``(555) 010-0199``); a
-span it adds must still name an address or number of its kind once normalised, and must not touch a
-pattern's span. It is trained on ``STEPS`` batches of windows: spans of known place and kind put into passages of at
+span it adds is grown to whole words, must be an address or number of its kind once normalised (of at most
+``LONGEST`` characters), and must not touch a pattern's span. It is trained on ``STEPS`` batches of windows: spans of known place and kind put into passages of at
 most ``SAMPLE`` documents, and those passages as they are, with the patterns' spans.
 
-A text is laid out in cells of ``CELL`` characters. Every kind holds a decimal digit or a sign for
+A text is laid out in cells of ``CELL`` characters. Every kind holds a decimal digit or a sign or word for
 "at", so the network reads the cells with one of these and their neighbours, and no others. Each
 cell is read with ``CONTEXT`` characters on both sides; where windows overlap, their scores are
 averaged by nearness to the window's middle, and one Viterbi path runs over all adjoining cells of a text.
 
-Null and empty texts have no spans. Repeated documents are read each on its own. Very long texts are
-read in batches of cells. An empty table gives an empty result. Other columns are kept; a column named ``_pii`` is replaced.
+Null and empty texts have no spans. Repeated documents are read each on its own. Of very long texts
+``BATCH`` cells are scored at a time; only back pointers stay, and those only until all best paths agree. An empty table gives an empty result. Other columns are kept; a column named ``_pii`` is replaced.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import random
 import re
 
@@ -35,16 +37,17 @@ SPAN = CELL + 2 * CONTEXT
 BATCH = 384
 HIDDEN, EMBED = 28, 12
 SAMPLE, PASSAGE = 400, 600
-STEPS, ROWS, RATE, LEARNED = 500, 64, 0.015, 80
+STEPS, ROWS, RATE, LEARNED = 700, 64, 0.015, 80
 CHUNK = 4 << 20
+LONGEST = 320  # 64 characters, a sign and 255 characters: no address is longer
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
-_CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+_CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
-_GATE = re.compile(r"[\d@＠]|[(\[{] ?at ?[)\]}]", re.IGNORECASE)
+_GATE = re.compile(r"[\d@＠]|[(\[{]\s?at\s?[)\]}]|\bat\s+[a-z0-9-]+\s+dot\b", re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -85,15 +88,35 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-_AT = r"\s*(?:[(\[{]\s?at\s?[)\]}]|[@＠])\s*"
-_DOT = r"\s*(?:[(\[{]\s?(?:dot|\.)\s?[)\]}]|\.)\s*"
+_AT = r"(?:\s*(?:[(\[{]\s?at\s?[)\]}]|[@＠])\s*|\s+at\s+)"
+_DOT = r"(?:\.|\s*[(\[{]\s?(?:dot|\.)\s?[)\]}]\s*|\s+dot\s+)"
 _MAIL = re.compile(f"[A-Za-z0-9._%+-]+{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.IGNORECASE)
-_QUAD = re.compile(f"(?<![0-9])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
+_QUAD = re.compile(f"(?<![0-9])[0-9]{{1,3}}(?:(?:{_DOT}|\\s\\.\\s)[0-9]{{1,3}}){{3}}(?![0-9])", re.IGNORECASE)
 _NUMBER = re.compile(r"[+(]?[0-9][0-9 ().\-/]*[0-9]")
+_CUT = re.compile(f"[A-Za-z0-9._%+-]+(?:{_AT}|\\s+)$", re.IGNORECASE)  # a name before a span that begins at or after its sign
+_DIGITS = frozenset("0123456789")
+
+
+def grown(kind: str, text: str, s: int, e: int) -> tuple[int, int]:
+    """The span with the rest of the words or numbers that it cuts, ``LONGEST`` characters to a side at most."""
+    left, right = (_LOCAL, _LOCAL) if kind == "email" else (_DIGITS, _DIGITS)
+    least, most = max(0, s - LONGEST), min(len(text), e + LONGEST)
+    while s > least and text[s] in left and text[s - 1] in left:
+        s -= 1
+    if kind == "email" and not _MAIL.search(text, s, e) and (cut := _CUT.search(text, least, s)):
+        s = cut.start()
+    if kind == "phone":
+        while s > least and text[s - 1] in "+(":
+            s -= 1
+    while e < most and text[e - 1] in right and text[e] in right:
+        e += 1
+    return s, e
 
 
 def fitted(kind: str, text: str) -> tuple[int, int] | None:
     """The part of a span that is of its kind once its disguise is off, if there is one."""
+    if len(text) > LONGEST:
+        return None
     found = {"email": _MAIL, "ip": _QUAD}.get(kind, _NUMBER).search(text)
     if found is None:
         return None
@@ -137,8 +160,11 @@ TAGS = 1 + 2 * len(KINDS)  # none, then begin and inside of each kind
 
 def encoded(text: str) -> np.ndarray:
     """Class of each character; 0 stands for what lies outside the text."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return ALPHABET[np.minimum(points, 0xFFFF)]
+    out = np.empty(len(text), np.uint8)
+    for a in range(0, len(text), CHUNK):
+        points = np.frombuffer(text[a : a + CHUNK].encode("utf-32-le", "surrogatepass"), np.uint32)
+        out[a : a + CHUNK] = ALPHABET[np.minimum(points, 0xFFFF)]
+    return out
 
 
 def _allowed() -> np.ndarray:
@@ -284,6 +310,67 @@ class Tagger:
         return path
 
 
+class Walk:
+    """The best tag path of a text that comes block by block, ``(cells, time, tag)`` scores each.
+
+    The cells of a block are walked side by side: first the best score from each tag before a cell to each tag at
+    its end, then, with the scores before every cell known, back pointers. Once all paths through a block begin
+    at one tag, everything before it is settled and its pointers go.
+    """
+
+    def __init__(self, tagger: Tagger):
+        self.move = (tagger.p["move"] + RULE).astype(np.float32)
+        self.before: np.ndarray | None = None
+        self.open: list[tuple[np.ndarray, np.ndarray]] = []
+        self.path: list[np.ndarray] = []
+
+    def add(self, score: np.ndarray) -> None:
+        cells, steps, _ = score.shape
+        into = np.repeat(self.move[None], cells, 0)
+        if self.before is None:
+            self.before, into[0] = np.zeros(TAGS, np.float32), START.astype(np.float32)
+        best = into + score[:, 0][:, None, :]
+        for t in range(1, steps):
+            best = (best[:, :, :, None] + self.move).max(2) + score[:, t][:, None, :]
+        entry = np.empty((cells, TAGS), np.float32)
+        for r in range(cells):
+            entry[r] = self.before
+            self.before = (self.before[:, None] + best[r]).max(0)
+            self.before -= self.before.max()
+        came = np.empty((steps, cells, TAGS), np.int8)
+        at = entry
+        for t in range(steps):
+            options = at[:, :, None] + (into if t == 0 else self.move)
+            came[t] = options.argmax(1)
+            at = options.max(1) + score[:, t]
+        tag, row = np.tile(np.arange(TAGS), (cells, 1)), np.arange(cells)[:, None]
+        for t in range(steps - 1, -1, -1):
+            tag = came[t][row, tag]
+        first = np.arange(TAGS)
+        for r in range(cells - 1, -1, -1):
+            first = tag[r][first]
+        if self.open and (first == first[0]).all():
+            self._settle(int(first[0]))
+        self.open.append((came, tag))
+
+    def _settle(self, last: int) -> None:
+        done = []
+        for came, prior in reversed(self.open):
+            steps, cells, _ = came.shape
+            path, row = np.empty((cells, steps), np.int8), np.arange(cells)
+            for r in range(cells - 1, -1, -1):
+                path[r, -1], last = last, int(prior[r, last])
+            for t in range(steps - 1, 0, -1):
+                path[:, t - 1] = came[t, row, path[:, t]]
+            done.append(path.ravel())
+        self.path += reversed(done)
+        self.open = []
+
+    def end(self) -> np.ndarray:
+        self._settle(int(self.before.argmax()))
+        return np.concatenate(self.path)
+
+
 def _spans_of(path: np.ndarray) -> list[tuple[int, int, str]]:
     out = []
     for a in np.flatnonzero((path > 0) & (path % 2 == 1)).tolist():
@@ -301,7 +388,10 @@ def tagged(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str]]]
     """Spans that the network finds in each text."""
     regions: list[tuple[int, int, int, np.ndarray]] = []  # text, first cell, cells, classes
     for k, text in enumerate(texts):
-        near = {m.start() // CELL for m in _GATE.finditer(text)}
+        near, m = set(), _GATE.search(text)
+        while m:
+            near.add(m.start() // CELL)
+            m = _GATE.search(text, (m.start() // CELL + 1) * CELL)
         if not near:
             continue
         last = (len(text) - 1) // CELL
@@ -321,7 +411,7 @@ def tagged(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str]]]
         while end < len(regions) and (end == at or (end - at + 1) * regions[end][2] <= BATCH):
             end += 1
         cells = regions[end - 1][2]
-        _decode_regions(regions[at:end], cells, tagger, texts, out)
+        (_decode_long if cells > BATCH else _decode_regions)(regions[at:end], cells, tagger, texts, out)
         at = end
     return out
 
@@ -343,11 +433,34 @@ def _decode_regions(group: list, cells: int, tagger: Tagger, texts: list[str], o
     for g, r in enumerate(group):
         total[g, r[2] * CELL + 2 * CONTEXT :, 1:] = -1e4  # beyond a shorter region
     for r, path in zip(group, tagger.decode(total)):
-        first = r[1] * CELL - CONTEXT
-        for s, e, kind in _spans_of(path):
-            s, e = s + first, e + first
-            if 0 <= s and e <= len(texts[r[0]]):
-                out[r[0]].append((s, e, kind))
+        _place(r, path, texts, out)
+
+
+def _decode_long(group: list, cells: int, tagger: Tagger, texts: list[str], out: list) -> None:
+    """The same for one region of any length: scores of a block of cells, and the overlap with the next."""
+    (region,) = group
+    walk, edge = Walk(tagger), 2 * CONTEXT
+    total, weight = np.zeros((edge, TAGS), np.float32), np.full((edge, 1), 1e-6, np.float32)
+    for a in range(0, cells, BATCH):
+        n = min(BATCH, cells - a)
+        begins = [(region[1] + a + c) * CELL for c in range(n)]
+        total = np.concatenate([total, np.zeros((n * CELL, TAGS), np.float32)])
+        weight = np.concatenate([weight, np.full((n * CELL, 1), 1e-6, np.float32)])
+        for c, s in enumerate(tagger.emissions(np.stack([region[3][b : b + SPAN] for b in begins]))):
+            total[c * CELL : c * CELL + SPAN] += s * _MIDDLE[:, None]
+            weight[c * CELL : c * CELL + SPAN] += _MIDDLE[:, None]
+        ready = n * CELL + (edge if a + n == cells else 0)
+        walk.add((total[:ready] / weight[:ready]).reshape(-1, CELL, TAGS))
+        total, weight = total[ready:], weight[ready:]
+    _place(region, walk.end(), texts, out)
+
+
+def _place(region: tuple, path: np.ndarray, texts: list[str], out: list) -> None:
+    first = region[1] * CELL - CONTEXT
+    for s, e, kind in _spans_of(path):
+        s, e = max(0, s + first), min(len(texts[region[0]]), e + first)
+        if s < e:
+            out[region[0]].append((s, e, kind))
 
 
 def all_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str, bool]]]:
@@ -356,13 +469,20 @@ def all_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str
     for text, found in zip(texts, tagged(texts, tagger)):
         base = base_spans(text)
         spans = [(*s, True) for s in base]
+        begins, ends = [s for s, *_ in base], list(itertools.accumulate((e for _, e, _ in base), max))
+        last = 0
         for s, e, kind in sorted(set(found)):
+            if e - s > LONGEST:
+                continue
+            s, e = grown(kind, text, s, e)
             place = fitted(kind, text[s:e])
             if place is None:
                 continue
             s, e = s + place[0], s + place[1]
-            if all(e <= a or b <= s for a, b, *_ in spans):
+            earlier = bisect.bisect_left(begins, e)  # base spans that begin before the end
+            if s >= last and (earlier == 0 or ends[earlier - 1] <= s):
                 spans.append((s, e, kind, False))
+                last = e
         out.append(sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]))))
     return out
 
@@ -374,7 +494,10 @@ def _number(draw: random.Random, n: int) -> str:
     return "".join(draw.choice("0123456789") for _ in range(n))
 
 
-def _word(draw: random.Random, least: int = 3, most: int = 9) -> str:
+def _word(draw: random.Random, known: list[str], least: int = 3, most: int = 9) -> str:
+    """A word of the passages, or letters: names and hosts may look like either."""
+    if known and draw.random() < 0.6:
+        return draw.choice(known)
     return "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(least, most)))
 
 
@@ -383,13 +506,14 @@ def _card_number(draw: random.Random) -> str:
     return next(head + c for c in "0123456789" if luhn(head + c))
 
 
-def _example(draw: random.Random, kind: str) -> str:
+def _example(draw: random.Random, kind: str, known: list[str]) -> str:
     """A span of a kind, plainly or otherwise written."""
     if kind == "email":
-        at = draw.choice(("@", "@", "@", " (at) ", "(at)", "[at]", " [at] ", " @ ", "＠", " {at} "))
-        dot = draw.choice((".", ".", ".", " (dot) ", "[dot]", "(.)")) if at != "@" else "."
-        local = draw.choice(("", _word(draw, 1, 6) + draw.choice("._-+"))) + _word(draw) + draw.choice(("", _number(draw, draw.randint(1, 4))))
-        host = dot.join([_word(draw, 2, 9) + draw.choice(("", _number(draw, 2))), *[_word(draw, 2, 6)] * draw.randint(0, 1), draw.choice(("com", "org", "net", "de", "fr", "io", "example", "edu"))])
+        at = draw.choice(("@", "@", "@", " (at) ", " (at) ", "(at)", "[at]", " [at] ", " @ ", "＠", " {at} ", " at ", " at "))
+        dot = draw.choice((".", ".", ".", " (dot) ", " (dot) ", "[dot]", " [dot] ", "(.)", " dot ")) if at != "@" else "."
+        dot = " dot " if at == " at " else dot
+        local = draw.choice(("", _word(draw, known, 1, 6) + draw.choice("._-+"))) + _word(draw, known) + draw.choice(("", _number(draw, draw.randint(1, 4))))
+        host = dot.join([_word(draw, known, 2, 9) + draw.choice(("", _number(draw, 2))), *[_word(draw, known, 2, 6)] * draw.randint(0, 1), draw.choice(("com", "org", "net", "de", "fr", "io", "example", "edu"))])
         return local + at + host
     if kind == "ip":
         dot = draw.choice((".", ".", ".", "[.]", "(.)", " . ", "[dot]"))
@@ -403,12 +527,21 @@ def _example(draw: random.Random, kind: str) -> str:
     return draw.choice((f"({a}) {b}{gap}{c}", f"{a}{gap}{b}{gap}{c}", f"{country} ({a}) {b}-{c}", f"{country}{gap}{a}{gap}{b}{gap}{c}", f"{country}{a}{b}{c}"))
 
 
-def _other(draw: random.Random) -> str:
+def _other(draw: random.Random, known: list[str]) -> str:
     """What looks like a span and is none."""
     n = lambda k: _number(draw, k)
     hexed = "".join(draw.choice("0123456789abcdef") for _ in range(draw.randint(8, 32)))
+    year, day, hour = f"{draw.choice((18, 19, 20))}{n(2)}", f"{draw.randint(1, 12):02}-{draw.randint(1, 31):02}", f"{draw.randint(0, 23):02}"
+    minute = f"{hour}:{draw.randint(0, 59):02}"
+    date = draw.choice((f"{year}-{day}", f"{year}/{day[:2]}/{day[3:]}", f"{day[3:]}.{day[:2]}.{year}"))
+    word = _word(draw, known)
     return draw.choice(
-        (n(1) + ".", n(draw.randint(1, 8)), f"{n(4)}-{n(2)}-{n(2)}", f"{n(2)}:{n(2)}", f"v{n(1)}.{n(1)}.{n(2)}", f"{n(3)},{n(3)}.{n(2)}", hexed, f"key={hexed}", "@" + _word(draw), f"{n(3)}-{n(1)}-{n(2)}-{n(5)}-{n(1)}", f"{n(2)}/{n(2)}/{n(4)}", f"({n(4)})", hexed.upper(), f"{n(1)}.{n(2)}%")
+        (
+            *(n(1) + ".", n(draw.randint(1, 8)), f"{n(2)}:{n(2)}", f"v{n(1)}.{n(1)}.{n(2)}", f"{n(3)},{n(3)}.{n(2)}", f"{n(1)}.{n(2)}%"),
+            *(hexed, f"key={hexed}", hexed.upper(), "@" + word, f"{n(3)}-{n(1)}-{n(2)}-{n(5)}-{n(1)}", f"({year})", f"{year}-{year}"),
+            *(date, f"{date} {hour}", f"{date} {minute}", f"{date}T{minute}:{n(2)}", f"{date} {minute}:{n(2)}", f"{minute} {date}"),
+            *(f"at {word}", f"{word} at {word}. {_word(draw, known)}", f"at a dot {word}", f"at {minute}", f"at {n(2)}.{n(2)}"),
+        )
     )
 
 
@@ -416,29 +549,35 @@ def labelled_windows(passages: list[str], count: int = 6_000, seed: int = 4) ->
     """Class windows and tag paths: spans put into passages, look-alikes, and passages as they are."""
     draw = random.Random(seed)
     passages = [p for p in passages if p] or ["and the other one said so, not without reason. "]
+    known = sorted(set(re.findall(r"\b[A-Za-z][a-z]{2,8}\b", " ".join(passages), re.ASCII)))
     x, y = np.zeros((count, LEARNED), np.uint8), np.zeros((count, LEARNED), np.int64)
     for row in range(count):
         passage = draw.choice(passages)
         begin = draw.randrange(max(1, len(passage) - 30))
         text, spans = passage[begin : begin + draw.randint(0, LEARNED)], []
         for _ in range(draw.choice((0, 1, 1, 1, 2))):
-            kind = draw.choice((*KINDS, ""))
-            made = _example(draw, kind) if kind else _other(draw)
-            gap = draw.randint(0, len(text))
-            text = text[:gap].rstrip() + draw.choice((" ", "\n", " (", ": ", ", ")) + made + draw.choice((" ", ". ", ", ", ")", "\n"))
+            kind = draw.choice((*KINDS, "", ""))
+            made = _example(draw, kind, known) if kind else _other(draw, known)
+            gap = draw.choice((0, *[draw.randint(0, len(text))] * 7))
+            before = text[:gap].rstrip()
+            text = before + (draw.choice((" ", "\n", " (", ": ", ", ")) if before else "") + made + draw.choice((" ", ". ", ", ", ")", "\n"))
             if kind:
                 place = text.rindex(made)
                 spans = [s for s in spans if s[1] <= place] + [(place, place + len(made), kind)]
-            text += passage[begin + gap : begin + gap + 60]
+            text += passage[begin + gap : begin + gap + draw.choice((0, draw.randint(1, 60), 60, 60))]
         shift = draw.randint(0, max(0, len(text) - LEARNED))
-        for s, e, kind in spans + [s for s in base_spans(text) if all(s[1] <= a or b <= s[0] for a, b, _ in spans)]:
+        spans += [s for s in base_spans(text) if all(s[1] <= a or b <= s[0] for a, b, _ in spans)]
+        shift = min([shift, *(s for s, e, _ in spans if s < shift < e)])  # no window begins inside a span
+        if draw.random() < 0.3:
+            shift = -draw.randint(0, CONTEXT)  # the text's own begin
+        for s, e, kind in spans:
             s, e = s - shift, e - shift
             if 0 <= s < LEARNED:
                 tag = 1 + 2 * KINDS.index(kind)
                 y[row, s] = tag
                 y[row, s + 1 : min(e, LEARNED)] = tag + 1
-        part = encoded(text[shift : shift + LEARNED])
-        x[row, : len(part)] = part
+        part = encoded(text[max(0, shift) : shift + LEARNED])
+        x[row, max(0, -shift) : max(0, -shift) + len(part)] = part
     return x, y
 
 
@@ -455,8 +594,18 @@ def train(docs: DataFrame, most: int = SAMPLE, steps: int = STEPS) -> Tagger:
 _PII = "array<struct<kind:string,start:long,end:long,base:boolean>>"
 
 
-def find(docs: DataFrame, tagger: Tagger) -> DataFrame:
-    """The documents with ``_pii``: all spans, by start, then kind as listed."""
+def without(text: str, spans: list[tuple[int, int, str, bool]]) -> str:
+    """The text with each span replaced by its kind in brackets; of spans that meet the first one names both."""
+    out, at = [], 0
+    for s, e, kind, _ in spans:
+        if s >= at:
+            out += [text[at:s], f"[{kind}]"]
+        at = max(at, e)
+    return "".join([*out, text[at:]])
+
+
+def find(docs: DataFrame, tagger: Tagger, mask: bool = False) -> DataFrame:
+    """The documents with ``_pii``: all spans, by start, then kind as listed; ``mask`` puts marks into the texts."""
     docs = docs.drop("_pii")
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
     fields = T.StructType.fromDDL(f"_pii {_PII}").fields
@@ -465,12 +614,15 @@ def find(docs: DataFrame, tagger: Tagger) -> DataFrame:
     def run(batches):
         for batch in batches:
             names = batch.schema.names
-            column = batch.column(names.index("text"))
-            for a, b in words.slices(words.byte_sizes(column), CHUNK):
+            place = names.index("text")
+            for a, b in words.slices(words.byte_sizes(batch.column(place)), CHUNK):
                 part = batch.slice(a, b - a)
-                texts = [t or "" for t in part.column(names.index("text")).to_pylist()]
-                spans = [[{"kind": k, "start": s, "end": e, "base": x} for s, e, k, x in row] for row in all_spans(texts, shared.value)]
+                texts = part.column(place).to_pylist()
+                found = all_spans([t or "" for t in texts], shared.value)
+                spans = [[{"kind": k, "start": s, "end": e, "base": x} for s, e, k, x in row] for row in found]
                 arrays = [part.column(k) for k in range(part.num_columns)] + [pa.array(spans, made)]
+                if mask:
+                    arrays[place] = pa.array([None if t is None else without(t, row) for t, row in zip(texts, found)], arrays[place].type)
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, "_pii"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
@@ -487,17 +639,7 @@ def report(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
 
 def masked(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """The documents with every span replaced by its kind in brackets; ``n_chars`` follows the text."""
-    found = find(docs, tagger or train(docs))
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(done, s):
-        plain = F.substring(F.col("text"), (done["at"] + 1).cast("int"), F.greatest(s["start"] - done["at"], F.lit(0)).cast("int"))
-        mark = F.when(s["start"] >= done["at"], F.concat(F.lit("["), s["kind"], F.lit("]"))).otherwise("")
-        return F.struct(F.concat(done["out"], plain, mark).alias("out"), F.greatest(done["at"], s["end"]).alias("at"))
-
-    rest = lambda done: F.concat(done["out"], F.substring(F.col("text"), (done["at"] + 1).cast("int"), F.length("text")))
-    text = F.when(F.size("_pii") > 0, F.aggregate("_pii", begin, step, rest)).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
+    out = find(docs, tagger or train(docs), mask=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select([c for c in docs.columns if c != "_pii"])
