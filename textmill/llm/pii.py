@@ -231,24 +231,26 @@ class Tagger:
         both = np.concatenate([parts["f"][0], parts["b"][0]], axis=2)
         score = (both @ self.p["out"] + self.p["bias"]).astype(np.float64)
         move = self.p["move"] + RULE
+        leap = np.exp(move)
         ahead, back = np.empty_like(score), np.zeros_like(score)
         ahead[0] = score[0] + START
         for t in range(1, steps):
-            ahead[t] = score[t] + _sum_exp(ahead[t - 1][:, :, None] + move, 1)
+            top = ahead[t - 1].max(1, keepdims=True)
+            ahead[t] = score[t] + np.log(np.exp(ahead[t - 1] - top) @ leap + 1e-300) + top
         for t in range(steps - 2, -1, -1):
-            back[t] = _sum_exp(move + (score[t + 1] + back[t + 1])[:, None, :], 2)
+            after = score[t + 1] + back[t + 1]
+            top = after.max(1, keepdims=True)
+            back[t] = np.log(np.exp(after - top) @ leap.T + 1e-300) + top
         total = _sum_exp(ahead[-1], 1)
         row = np.arange(rows)
         path = START[y[0]] + score[0][row, y[0]]
-        for t in range(1, steps):
-            path = path + score[t][row, y[t]] + move[y[t - 1], y[t]]
+        path = path + (score[np.arange(1, steps)[:, None], row, y[1:]] + move[y[:-1], y[1:]]).sum(0)
         d_score = np.exp(ahead + back - total[:, None])
         d_score[np.arange(steps)[:, None], row, y] -= 1
         d_move = np.zeros((TAGS, TAGS))
-        for t in range(1, steps):
-            joint = ahead[t - 1][:, :, None] + move + (score[t] + back[t])[:, None, :] - total[:, None, None]
-            d_move += np.exp(joint).sum(0)
-            np.subtract.at(d_move, (y[t - 1], y[t]), 1)
+        joint = ahead[:-1, :, :, None] + move + (score[1:] + back[1:])[:, :, None, :] - total[:, None, None]
+        d_move += np.exp(joint).sum((0, 1))
+        np.subtract.at(d_move, (y[:-1], y[1:]), 1)
         grads = {"move": d_move / rows}
         d_score = (d_score / rows).astype(np.float32)
         grads["out"] = both.reshape(-1, 2 * HIDDEN).T @ d_score.reshape(-1, TAGS)
@@ -258,18 +260,20 @@ class Tagger:
         for n, d in enumerate("fb"):
             outer = d_both[:, :, n * HIDDEN : (n + 1) * HIDDEN]
             d_h, d_c = np.zeros((rows, HIDDEN), np.float32), np.zeros((rows, HIDDEN), np.float32)
-            d_table, d_weight = np.zeros((CLASSES, 4 * HIDDEN), np.float32), np.zeros_like(self.p[f"h{d}"])
+            back_gates, lasts = np.empty((steps, rows, 4 * HIDDEN), np.float32), np.empty((steps, rows, HIDDEN), np.float32)
+            weight = np.ascontiguousarray(self.p[f"h{d}"].T)
             for t, i, f, o, g, before, squashed, last in reversed(parts[d][1]):
                 d_h = d_h + outer[t]
                 d_c = d_c + d_h * o * (1 - squashed**2)
-                d_gate = np.concatenate(
-                    [d_c * g * i * (1 - i), d_c * before * f * (1 - f), d_h * squashed * o * (1 - o), d_c * i * (1 - g**2)], axis=1
-                )
-                d_weight += last.T @ d_gate
-                one = np.zeros((rows, CLASSES), np.float32)
-                one[row, x[t]] = 1
-                d_table += one.T @ d_gate
-                d_h, d_c = d_gate @ self.p[f"h{d}"].T, d_c * f
+                d_gate = back_gates[t]
+                d_gate[:, :HIDDEN] = d_c * g * i * (1 - i)
+                d_gate[:, HIDDEN : 2 * HIDDEN] = d_c * before * f * (1 - f)
+                d_gate[:, 2 * HIDDEN : 3 * HIDDEN] = d_h * squashed * o * (1 - o)
+                d_gate[:, 3 * HIDDEN :] = d_c * i * (1 - g**2)
+                lasts[t] = last
+                d_h, d_c = d_gate @ weight, d_c * f
+            flat = back_gates.reshape(-1, 4 * HIDDEN)
+            d_weight, d_table = lasts.reshape(-1, HIDDEN).T @ flat, (x.reshape(-1, 1) == np.arange(CLASSES)).astype(np.float32).T @ flat
             grads[f"h{d}"] = d_weight
             grads[f"c{d}"] = d_table.sum(0)
             grads[f"x{d}"] = self.p["embed"].T @ d_table
