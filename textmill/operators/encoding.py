@@ -1,18 +1,19 @@
 """Text to token ids and back, as joins of pieces with a vocabulary.
 
-A document is cut into pieces, the pieces are looked up by a broadcast join and the
-ids are put together again per document. Documents are partitioned by their id first:
-its pieces then stay together and the text, far smaller than its pieces, is all that
-is shuffled. ``partitioned=True`` says that they already are, as after
-:func:`textmill.sources.corpus.by_document`.
+A document is cut into pieces, the pieces are looked up and the ids are put together again per document. A vocabulary
+is a broadcast join; rank tables are looked up by an Arrow function where the pieces are, which are then never rows
+that would be sorted or spilled. So are ids when they are turned back to text. Documents are partitioned by their id
+first: the text, far smaller than its pieces, is what is shuffled, and ids once more after the Arrow function.
+``partitioned=True`` says that they already are, as after :func:`textmill.sources.corpus.by_document`.
 
 Pieces come together in two levels: those of a stretch of a document first, then the stretches' ids. A long text is
-cut before its pieces are made, so that no row or group holds more pieces than a stretch has.
+cut before its pieces are made, so that no row or group holds more pieces than a stretch has. Rank tables too large for
+every task, or with a key more than once, are joined with rows of pieces.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Iterator
 
 import pandas as pd
@@ -29,6 +30,7 @@ DICTIONARY_ROWS = 65_536
 DICTIONARY_PIECE_BYTES = 128
 STRETCH_CHARACTERS = 1 << 16
 STRETCH_TOKENS = 1 << 16
+LOOKED_UP_AT_ONCE = 1 << 20  # pieces or ids of a batch whose copies are in memory together
 
 
 def _control_rows(spark, first_id: int, family: str) -> DataFrame:
@@ -81,6 +83,128 @@ def _found(
     return _piece_rows(docs, keys, text, pattern, family).join(known, "piece", "left")
 
 
+def _small(table: DataFrame, key: str, size: Column) -> DataFrame | None:
+    """The table, if every task can have it and each key is in it once; else None."""
+    found = table.agg(
+        F.sum(size).alias("bytes"), F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys")
+    ).first()
+    return table if (found["bytes"] or 0) <= V.BROADCAST_BYTES and found["rows"] == found["keys"] else None
+
+
+def _stretch_pieces(
+    docs: DataFrame, keys: Sequence[str], text: str, pattern: str, family: str
+) -> DataFrame:
+    """``(*keys, stretch, pieces)``: an array of pieces for each row that has the keys, as a rule for one."""
+    stretches = P.text_stretches(F.col(text), STRETCH_CHARACTERS, pattern)
+    parts = docs.select(*keys, F.posexplode(stretches).alias("stretch", "_part"))
+    listed = parts.groupBy(*keys, "stretch").agg(F.collect_list(F.struct("_part")).alias("_rows"))
+    pieces = F.transform("_rows", lambda row: P.split_pieces_with_control(row["_part"], pattern, family))
+    return listed.select(*keys, "stretch", pieces.alias("pieces"))
+
+
+def _lookup_udf(table: DataFrame, key: str, value: str, result: str, answer: Callable) -> Callable[[str], Column]:
+    """Arrow UDF over arrays of arrays of keys, one inner array for each row of a group, in order of position.
+
+    ``answer()`` makes, once a task, the function that gives the values of distinct keys that the
+    table lacks. ``result`` is the kind of output, ``"ids"`` of lists joined, ``"raw"`` of bytes joined or
+    ``"words"`` of pairs. Nested functions travel by value: executors need not have this package.
+    """
+    found = table.select(key, value).toArrow().combine_chunks()
+    columns = [found[c].combine_chunks() if found[c].num_chunks != 1 else found[c].chunk(0) for c in (key, value)]
+    shared = table.sparkSession.sparkContext.broadcast(columns)
+    most = LOOKED_UP_AT_ONCE
+
+    def looked_up(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names, values = shared.value
+        solved = answer()
+
+        def ends_of(lengths):
+            return np.concatenate([[0], np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))])
+
+        def per_key(flat):
+            """The value of each key of an array, which has no nulls."""
+            coded = flat.dictionary_encode()
+            place = pc.index_in(coded.dictionary, value_set=names)
+            absent = pc.is_null(place)
+            both = pa.concat_arrays([values.take(place.drop_null()), solved(coded.dictionary.filter(absent))])
+            none = absent.to_numpy(zero_copy_only=False)
+            where = np.where(none, (~none).sum() + np.cumsum(none) - 1, np.cumsum(~none) - 1)
+            return both.take(pa.array(where[coded.indices.to_numpy(zero_copy_only=False)], pa.int64()))
+
+        def whole(rows):
+            lists = rows.flatten()
+            flat = lists.flatten()
+            lengths = pc.fill_null(pc.list_value_length(lists), 0)
+            inner, outer = ends_of(lengths), ends_of(pc.list_value_length(rows))
+            ends = inner[outer]
+            if flat.null_count:
+                there = pc.is_valid(flat).to_numpy(zero_copy_only=False)
+                spot = np.flatnonzero(there)
+                flat, ends = flat.drop_null(), np.concatenate([[0], np.cumsum(there)])[ends]
+            else:
+                spot = None
+            got = per_key(flat)
+            several = np.flatnonzero(np.diff(outer) > 1)
+            if len(several):
+                # rows of one key: their keys stand by position, then value
+                order = np.arange(len(flat))
+                at = order if spot is None else spot
+                position = at - inner[np.searchsorted(inner, at, side="right") - 1]
+                for i in several.tolist():
+                    here = range(ends[i], ends[i + 1])
+                    by = (lambda k: (position[k], got[k].as_py())) if result == "ids" else (lambda k: (position[k], flat[k].as_py()))
+                    order[ends[i] : ends[i + 1]] = sorted(here, key=by)
+                flat, got = flat.take(pa.array(order)), got.take(pa.array(order))
+            if result == "words":
+                pairs = pa.StructArray.from_arrays([flat, got], names=["id", "word"])
+                return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+            inside = np.frombuffer(got.buffers()[1], np.int32)[got.offset : got.offset + len(got) + 1] if len(got) else np.zeros(1, np.int32)
+            cuts = pa.array((inside[ends] - inside[0]).astype(np.int32))
+            if result == "ids":
+                return pa.ListArray.from_arrays(cuts, got.flatten())
+            data = got.buffers()[2] or pa.py_buffer(b"")
+            return pa.Array.from_buffers(pa.binary(), len(rows), [None, cuts.buffers()[1], data.slice(int(inside[0]))])
+
+        for batch in batches:
+            inner = ends_of(pc.fill_null(pc.list_value_length(batch.flatten()), 0))
+            held = inner[ends_of(pc.list_value_length(batch))]
+            done, begin = [], 0
+            while begin < len(batch) or not done:
+                end = max(begin + 1, int(np.searchsorted(held, held[min(begin, len(batch))] + most, side="right")) - 1)
+                done.append(whole(batch.slice(begin, min(end, len(batch)) - begin)))
+                begin = end
+            yield pa.concat_arrays(done)
+
+    import pyarrow as pa
+
+    looked_up.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    kinds = {"ids": "array<int>", "raw": "binary", "words": "array<struct<id: int, word: string>>"}
+    return F.arrow_udf(looked_up, kinds[result])
+
+
+def _merged(ranks: DataFrame):
+    """Pieces that are no token are merged from byte pairs."""
+    shared = _shared_ranks(ranks)
+
+    def answer():
+        import pyarrow as pa
+        import tiktoken
+
+        # the pattern takes a piece as it comes: the cutting is done
+        encoder = tiktoken.Encoding(
+            "ranks", pat_str=r"[\s\S]+", mergeable_ranks=shared.value, special_tokens={}
+        )
+        return lambda missing: pa.array(
+            [encoder.encode_ordinary(piece) for piece in missing.to_pylist()], pa.list_(pa.int32())
+        )
+
+    return answer
+
+
 def encode_with_vocabulary(
     docs: DataFrame,
     vocabulary: DataFrame,
@@ -146,13 +270,8 @@ def ranks_size(ranks: DataFrame) -> int:
     return 0 if largest is None else largest + 1
 
 
-def _merge_udf(ranks: DataFrame):
-    """Arrow UDF: lists of pieces to lists of ids, by byte-pair merges.
-
-    The rank table travels as a broadcast variable; every distinct piece of a batch is
-    encoded once. The body imports what it needs, so executors do not have to have
-    this package.
-    """
+def _shared_ranks(ranks: DataFrame):
+    """The rank table as a broadcast variable."""
     size = ranks.agg(F.sum(F.octet_length("token") + 16).alias("bytes")).first()["bytes"] or 0
     if size > V.BROADCAST_BYTES:
         raise ValueError(f"a rank table of {size} bytes is too large for every task")
@@ -160,7 +279,17 @@ def _merge_udf(ranks: DataFrame):
     table = dict(zip(found["token"], found["id"]))
     if len(table) != len(found["id"]):
         raise ValueError("a token occurs more than once in the rank table")
-    shared = ranks.sparkSession.sparkContext.broadcast(table)
+    return ranks.sparkSession.sparkContext.broadcast(table)
+
+
+def _merge_udf(ranks: DataFrame):
+    """Arrow UDF: lists of pieces to lists of ids, by byte-pair merges.
+
+    The rank table travels as a broadcast variable; every distinct piece of a batch is
+    encoded once. The body imports what it needs, so executors do not have to have
+    this package.
+    """
+    shared = _shared_ranks(ranks)
 
     def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import pandas as pd
@@ -234,8 +363,8 @@ def encode_with_ranks(
     """Encode with a byte-pair rank table ``(token BINARY, id)``: ``(id_col, *keep, tokens)``.
 
     Pieces that are tokens, control tokens and the pieces of ``dictionary`` are
-    found by a broadcast join. Only the other pieces go through byte-pair merges, in Arrow
-    batches, where they occur: they are not shuffled, so a frequent one is no hot key.
+    looked up. Only the other pieces go through byte-pair merges, each distinct one of a part of an Arrow
+    batch once, where they occur: they are not shuffled, so a frequent one is no hot key.
     Control ids begin at ``first_control_id``, by default after the ranks; give the number of ids of a
     model whose own special tokens stand above its ranks.
     """
@@ -249,11 +378,15 @@ def encode_with_ranks(
     known = whole_piece_table(ranks).unionByName(controls)
     if dictionary is not None:
         known = known.unionByName(dictionary.select("piece", "ids"))
-    known = V.checked_broadcast(known, F.octet_length("piece") + 4 * F.size("ids") + 48)
+    bytes_each = F.octet_length("piece") + 4 * F.size("ids") + 48
+    together = _together(docs.select(*keys, text), id_col, partitioned)
+    if (small := _small(known, "piece", bytes_each)) is not None:
+        pieces = _stretch_pieces(together, keys, text, pattern, family)
+        merged = _lookup_udf(small, "piece", "ids", "ids", _merged(ranks))("pieces")
+        return _whole(pieces.select(*keys, "stretch", merged.alias("tokens")), keys, "tokens")
+    known = V.checked_broadcast(known, bytes_each)
     looked_up = (
-        _piece_rows(
-            _together(docs.select(*keys, text), id_col, partitioned), keys, text, pattern, family
-        )
+        _piece_rows(together, keys, text, pattern, family)
         .join(known, "piece", "left")
         .withColumn("miss", F.when(F.col("ids").isNull(), F.col("piece")))
     )
@@ -288,12 +421,58 @@ def add_document_ends(
     return encoded.withColumn(tokens, whole).withColumn("size", F.size(tokens))
 
 
-def _token_table(ranks: DataFrame, first: int, family: str) -> DataFrame:
+def _all_tokens(ranks: DataFrame, first: int, family: str) -> DataFrame:
     controls = _control_rows(ranks.sparkSession, first, family).select(
         F.col("piece").cast("binary").alias("token"), "id"
     )
-    both = ranks.select("token", "id").unionByName(controls)
-    return V.checked_broadcast(both, F.octet_length("token") + 16)
+    return ranks.select("token", "id").unionByName(controls)
+
+
+def _token_table(ranks: DataFrame, first: int, family: str) -> DataFrame:
+    return V.checked_broadcast(_all_tokens(ranks, first, family), F.octet_length("token") + 16)
+
+
+def _spelled_in_place(
+    encoded: DataFrame,
+    ranks: DataFrame,
+    keys: Sequence[str],
+    tokens: str,
+    family: str,
+    first: int | None,
+    partitioned: bool,
+    unknown: str,
+    result: str,
+) -> DataFrame | None:
+    """``(*keys, stretch, spelled)`` by looking the ids of each stretch up where they are; None if the table is not for that."""
+    if unknown not in ("raise", "replace"):
+        raise ValueError("unknown must be 'raise' or 'replace'")
+    first = ranks_size(ranks) if first is None else first
+    table = _small(_all_tokens(ranks, first, family), "id", F.octet_length("token") + 16)
+    if table is None:
+        return None
+    if result == "words":
+        table = table.select("id", F.make_valid_utf8(F.col("token").cast("string")).alias("token"))
+
+    def answer():
+        import pyarrow as pa
+
+        def solved(missing):
+            if unknown == "raise" and len(missing):
+                raise ValueError(f"no token has the id {missing[0].as_py()}")
+            other = "\ufffd" if result == "words" else "\ufffd".encode()
+            return pa.array([other] * len(missing), pa.string() if result == "words" else pa.binary())
+
+        return solved
+
+    last = F.greatest(F.coalesce(F.floor((F.size(tokens) - 1) / STRETCH_TOKENS), F.lit(0)), F.lit(0)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(tokens, i * STRETCH_TOKENS + 1, STRETCH_TOKENS))
+    whole = F.when(F.size(tokens) > STRETCH_TOKENS, cut).otherwise(F.array(tokens))
+    together = _together(encoded.select(*keys, tokens), keys[0], partitioned)
+    parts = together.select(*keys, F.posexplode(whole).alias("stretch", "_part"))
+    listed = parts.groupBy(*keys, "stretch").agg(F.collect_list(F.struct("_part")).alias("_rows"))
+    spelled = _lookup_udf(table, "id", "token", result, answer)("_ids").alias("spelled")
+    ids = F.transform("_rows", lambda row: row["_part"].cast("array<int>")).alias("_ids")
+    return listed.select(*keys, "stretch", ids).select(*keys, "stretch", spelled)
 
 
 def vocabulary_ranks(vocabulary: DataFrame) -> DataFrame:
@@ -354,6 +533,14 @@ def decode(
     An id that is in no table stops the job, or reads U+FFFD with ``unknown="replace"``.
     """
     keys = [id_col, *keep]
+    options = (ranks, keys, tokens, family, first_control_id, partitioned, unknown)
+    here = _spelled_in_place(encoded, *options, "raw")
+    if here is not None:
+        # a character may lie across two stretches: only the whole is made valid
+        parts = here.select(*keys, "stretch", F.array(F.col("spelled").cast("string")).alias("raw"))
+        return _whole(parts, keys, "raw").select(
+            *keys, F.make_valid_utf8(F.concat_ws("", "raw")).alias("text")
+        )
     joined = F.concat_ws("", F.col("parts")["raw"])
     spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned, unknown)
     # a character may lie across two stretches: only the whole is made valid
@@ -379,6 +566,10 @@ def words(
     A token that is only a part of a character reads U+FFFD; unknown ids as in :func:`decode`.
     """
     keys = [id_col, *keep]
+    options = (ranks, keys, tokens, family, first_control_id, partitioned, unknown)
+    here = _spelled_in_place(encoded, *options, "words")
+    if here is not None:
+        return _whole(here.withColumnRenamed("spelled", "words"), keys, "words")
     pairs = F.transform(
         "parts",
         lambda part: F.struct(
