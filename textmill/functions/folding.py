@@ -61,7 +61,9 @@ def spell_hangul(text: Column) -> Column:
         )
         return F.when(F.ascii(c).between(*HANGUL), sounds).otherwise(c)
 
-    whole = F.array_join(F.transform(F.split(text, ""), spelled), "")
+    # text between syllables is one part, however long
+    parts = F.regexp_extract_all(text, F.lit(r"[\x{AC00}-\x{D7A3}]|[^\x{AC00}-\x{D7A3}]++"), F.lit(0))
+    whole = F.array_join(F.transform(parts, spelled), "")
     return F.when(text.rlike(r"[\x{AC00}-\x{D7A3}]"), whole).otherwise(text)
 
 
