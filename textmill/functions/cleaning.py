@@ -16,7 +16,7 @@ from textmill import tables
 from textmill.functions import charsets, control, folding
 from textmill.functions.binding import once
 
-_SEPARATOR = "\x1f"
+_SEPARATOR, _ENTRY, _FIELD = "\x1f", "\x1e", "\x1d"
 
 
 def replace_in_order(text: Column, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -39,24 +39,29 @@ def replace_where_marked(text: Column, pairs: Sequence[tuple[str, str]]) -> Colu
     """Ordered replacements for long lists whose keys all hold a non-ASCII character.
 
     Texts with no such character are left alone after one scan. In the others only
-    the pairs whose character occurs are applied, so the cost follows the text and
-    not the length of the list, and neither does the size of the plan.
+    the pairs whose character occurs are applied: each is found in a list of those whose code points
+    have its remainder, so the cost follows the text and not the length of the list, and neither does the size of the plan.
     """
     marks = [_mark(old) for old, _ in pairs]
     body = charsets.grouped_class_body(map(ord, marks))
-    table = F.arrays_zip(
-        _constant_array(marks).alias("mark"),
-        _constant_array([old for old, _ in pairs]).alias("old"),
-        _constant_array([new for _, new in pairs]).alias("new"),
-    )
+    lists: list[list[str]] = [[] for _ in range(max(1, len(pairs)))]
+    for i, (mark, (old, new)) in enumerate(zip(marks, pairs)):
+        lists[ord(mark) % len(lists)].append(_FIELD.join([f"{i:06d}", mark, old, new]))
+    table = _constant_array([_ENTRY.join(entries) for entries in lists])
     present = F.array_distinct(F.regexp_extract_all(text, F.lit(f"[{body}]"), F.lit(0)))
-    applying = once(
-        present,
-        lambda found: F.filter(table, lambda pair: F.array_contains(found, pair["mark"])),
-    )
-    replaced = F.reduce(
-        applying, text, lambda done, pair: F.replace(done, pair["old"], pair["new"])
-    )
+
+    def entries(mark: Column) -> Column:
+        same = F.split(F.get(table, F.ascii(mark) % len(lists)), _ENTRY, -1)
+        return F.filter(same, lambda entry: F.substring(entry, 8, 1) == mark)
+
+    # numbers of equal length come first, so the order of texts is that of the list
+    applying = F.array_sort(F.flatten(F.transform(present, entries)))
+
+    def replaced_one(done: Column, entry: Column) -> Column:
+        fields = F.split(entry, _FIELD, -1)
+        return F.replace(done, F.get(fields, F.lit(2)), F.get(fields, F.lit(3)))
+
+    replaced = F.reduce(applying, text, replaced_one)
     return F.when(text.rlike(f"[{body}]"), replaced).otherwise(text)
 
 
