@@ -93,14 +93,21 @@ def offsets(
     id_col: str = "doc_id",
     max_shards: int = tables.MAX_SHARDS,
     rows_per_bucket: int = ordering.ROWS_PER_BUCKET,
+    tokens_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add ``start``, ``row_index`` and ``shard`` per ``split``, in ``id_col`` order.
 
     ``start`` is the number of tokens of the split before this document. Give it a
     narrow or stored table: the ids and sizes are read once for the bucket
-    boundaries, once for the bucket totals and once for the result.
+    boundaries, once for the bucket totals and once for the result. Rows that carry their tokens
+    need ``tokens_per_bucket``: a bucket then has about so many tokens, and no more rows than without.
     """
-    bucketed = ordering.with_range_bucket(docs, id_col, "_bucket", rows_per_bucket)
+    if tokens_per_bucket is None:
+        bucketed = ordering.with_range_bucket(docs, id_col, "_bucket", rows_per_bucket)
+    else:
+        each = -(-tokens_per_bucket // rows_per_bucket)
+        weight = F.coalesce(F.col(size).cast("long"), F.lit(0)) + each
+        bucketed = ordering.with_range_bucket(docs, id_col, "_bucket", tokens_per_bucket, weight)
     placed = ordering.running_totals(
         bucketed,
         {"start": F.col(size).cast("long"), "row_index": F.lit(1).cast("long")},

@@ -19,14 +19,19 @@ SPLIT_BITS = 8
 ROWS_PER_BUCKET = 250_000
 
 
-def range_bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
-    """Values of an integer column that cut it into buckets of about ``rows_per_bucket`` rows.
+def range_bounds(
+    df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET, weight: Column | None = None
+) -> list[int]:
+    """Values of an integer column that cut it into buckets of about ``rows_per_bucket`` rows, or that sum of ``weight``.
 
     Rows are counted per cell of equal width, by an ordinary aggregate of at most ``CELLS`` groups;
     only cells with more rows than a bucket are counted again in ``2 ** SPLIT_BITS`` parts, until none is
     left or a cell is one value. No task gets more than such counts.
     """
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    if weight is None:
+        weight = F.lit(1)
+    df = df.select(key, weight.cast("long").alias("_weight")).filter(F.col(key).isNotNull())
+    low, high, rows = df.agg(F.min(key), F.max(key), F.sum("_weight")).first()
     if not rows or rows <= rows_per_bucket:
         return []
     bits = max(0, ((high - low) // CELLS).bit_length())
@@ -35,9 +40,9 @@ def range_bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET
         """Number of a value's cell; cells of fewer bits lie inside those of more."""
         return F.shiftright(F.col(key).cast("long"), bits)
 
-    counted, inside, counts = df.select(key), df.select(key), {}
+    inside, counts = df, {}
     while True:
-        found = inside.groupBy(cell(bits).alias("cell")).count().filter("cell IS NOT NULL").collect()
+        found = inside.groupBy(cell(bits).alias("cell")).agg(F.sum("_weight").alias("count")).collect()
         heavy = [r.cell for r in found if r["count"] > rows_per_bucket] if bits else []
         again = set(heavy)
         counts |= {r.cell << bits: r["count"] for r in found if r.cell not in again}
@@ -45,7 +50,7 @@ def range_bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET
             break
         # no more cells than there are full buckets
         table = df.sparkSession.createDataFrame([(c,) for c in heavy], "heavy long")
-        inside = counted.join(F.broadcast(table), cell(bits) == F.col("heavy")).select(key)
+        inside = df.join(F.broadcast(table), cell(bits) == F.col("heavy")).drop("heavy")
         bits = max(0, bits - SPLIT_BITS)
     bounds, held = [], 0
     for start in sorted(counts):
@@ -57,14 +62,19 @@ def range_bounds(df: DataFrame, key: str, rows_per_bucket: int = ROWS_PER_BUCKET
 
 
 def with_range_bucket(
-    df: DataFrame, key: str, bucket: str = "bucket", rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame,
+    key: str,
+    bucket: str = "bucket",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Add a bucket number that never falls as ``key`` (an integer column) rises.
 
     The bounds are fixed before the column is made, so every use of the result sees the same buckets, also
-    when tasks are run again. There are as many buckets as the rows need. A null key is in bucket 0.
+    when tasks are run again. There are as many buckets as the rows need. A null key is in bucket 0. With ``weight`` a
+    bucket has about ``rows_per_bucket`` of its sum.
     """
-    bounds = range_bounds(df, key, rows_per_bucket)
+    bounds = range_bounds(df, key, rows_per_bucket, weight)
     if not bounds:
         return df.withColumn(bucket, F.lit(0))
     splits = [float("-inf"), *map(float, sorted({float(b) for b in bounds})), float("inf")]
@@ -98,7 +108,8 @@ def running_totals(
 ) -> DataFrame:
     """Add, for each name in ``totals``, the sum of its value over all earlier rows.
 
-    ``bucket`` must not fall along ``order`` inside a ``within`` group. With
+    ``bucket`` must not fall along ``order`` inside a ``within`` group. Starting values are
+    a first row of each bucket, so the rows are shuffled once and joined with nothing. With
     ``few_buckets`` the caller vouches that buckets times groups is a small number
     that does not grow with the data, and the starting values are broadcast.
     """
@@ -117,7 +128,17 @@ def running_totals(
             for name, v in values.items()
         ],
     )
-    joined = null_safe_join(valued, F.broadcast(starts) if few_buckets else starts, keys)
+    if not few_buckets:
+        opening = starts.select(
+            *keys, F.lit(0).alias("_later"), *[F.col(f"_{name}_start").alias(v) for name, v in values.items()]
+        )
+        both = valued.withColumn("_later", F.lit(1)).unionByName(opening, allowMissingColumns=True)
+        earlier = Window.partitionBy(*keys).orderBy("_later", *order).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        summed = both.withColumns({name: F.sum(v).over(earlier) for name, v in values.items()})
+        return summed.filter("_later = 1").select(*df.columns, *totals)
+    joined = null_safe_join(valued, F.broadcast(starts), keys)
     before = (
         Window.partitionBy(*keys)
         .orderBy(*order)

@@ -17,14 +17,22 @@ BYTES_PER_TASK = 1 << 26  # of raw token files that one task reads
 TOKENS_PER_ROW = 1 << 16  # of a row of raw tokens
 
 
-def write_shards(placed: DataFrame, path: str, tokens_per_task: int = TOKENS_PER_TASK) -> None:
+def write_shards(
+    placed: DataFrame, path: str, tokens_per_task: int = TOKENS_PER_TASK, dealt: bool = False
+) -> None:
     """Token shards of a table from :func:`layout.offsets`.
 
     One folder per split and shard, rows in stream order inside each file. Rows are dealt by stretches of equal
     token counts of the streams, so a task owns neighbouring shards or a part of one: there are about as many
-    files as shards, and shards are written side by side.
+    files as shards, and shards are written side by side. ``dealt`` says that rows stand so already, as
+    ``tokens_per_bucket`` of :func:`layout.offsets` leaves them.
     """
     rows = placed.select("split", "shard", "start", "doc_id", "size", "tokens")
+    if dealt:
+        rows.sortWithinPartitions("split", "shard", "start").write.mode("overwrite").partitionBy(
+            "split", "shard"
+        ).parquet(path)
+        return
     # one row per split
     sizes = placed.groupBy("split").agg(F.max(F.col("start") + F.col("size")).alias("n")).collect()
     cores = placed.sparkSession.sparkContext.defaultParallelism
@@ -75,10 +83,11 @@ def save_corpus(
         f"{path}/encoded"
     )
     held = spark.read.parquet(f"{path}/encoded")
-    # placed once: the sizes of the streams and the rows to write are taken from it
-    layout.offsets(held, max_shards=max_shards).write.mode("overwrite").parquet(f"{path}/placed")
-    write_shards(spark.read.parquet(f"{path}/placed"), f"{path}/shards")
-    discard(spark, f"{path}/placed")
+    total = held.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
+    stretch = max(1, min(TOKENS_PER_TASK, -(-total // spark.sparkContext.defaultParallelism)))
+    # tokens move once, to the stretch of their stream, and are written from there
+    placed = layout.offsets(held, max_shards=max_shards, tokens_per_bucket=stretch)
+    write_shards(placed, f"{path}/shards", dealt=True)
     shards = read_shards(spark, path)
     write_index(shards, f"{path}/index")
     sizes = layout.split_sizes(held, text=None)
