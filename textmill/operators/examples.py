@@ -54,10 +54,14 @@ def token_blocks(
     )
     cut = _piece_of("tokens", "start", F.col("block"), length)
 
+    def full(block: Column) -> Column:
+        # cut before the rows are made: none of them carries the whole document
+        return F.struct(block.alias("block"), _piece_of("tokens", "start", block, length).alias("tokens"))
+
     inside = (
         placed.filter("_first <= _last")
-        .withColumn("block", F.explode(F.sequence("_first", "_last")))
-        .select(*within, "block", cut.alias("tokens"))
+        .select(*within, F.explode(F.transform(F.sequence("_first", "_last"), full)).alias("_part"))
+        .select(*within, "_part.block", "_part.tokens")
     )
     ends = F.filter(
         F.array_distinct(F.array("_lowest", "_highest")),
