@@ -165,13 +165,9 @@ def raw_tokens_read_back(spark, sf):
     shards, _ = _saved(spark, sf, max_shards=8)
     path = _folder(spark, "raw")
     dtype = token_store.export_raw(shards, path)
-    ids = token_store.read_raw(spark, path, dtype).select(
-        "split", "start", F.posexplode("tokens").alias("i", "id")
-    )
-    place = F.col("start") + F.col("i")
-    listed = F.sort_array(F.collect_list(F.struct(place.alias("g"), "id")))
-    blocks = ids.groupBy("split", F.floor(place / 64).alias("block")).agg(listed.alias("s"))
-    return blocks.select("split", "block", F.concat_ws(" ", F.col("s")["id"].cast("array<string>")).alias("x"))
+    # blocks inside a row are cut where it is: only its ends meet those of its neighbours
+    blocks = examples.token_blocks(token_store.read_raw(spark, path, dtype), length=64)
+    return _joined(examples.next_token_examples(blocks, length=64).select("split", "block", "x"), "x")
 
 
 @query
@@ -649,9 +645,10 @@ def mixed_stream_shares(spark, sf):
 def mixed_stream_tokens(spark, sf):
     """Two stored corpora as one stream of tokens, with copies by their stored multipliers."""
     paths = {}
+    encoded = stored(_encoded(spark, sf, ratio=0.1), "encoded")  # both corpora have the same documents
     for name, multiplier in (("twice", 2.0), ("half", 0.5)):
         paths[name] = _folder(spark, name)
-        token_store.save_corpus(_encoded(spark, sf, ratio=0.1), paths[name], name, multiplier=multiplier, max_shards=8)
+        token_store.save_corpus(encoded, paths[name], name, multiplier=multiplier, max_shards=8)
     found = mixing.mixed_stream(spark, paths, seed=SEED)
     return found.select("corpus", "doc_id", "copy", "size", "start", F.concat_ws(" ", "tokens").alias("tokens"))
 
