@@ -108,6 +108,17 @@ def test_library_is_used_where_ranks_do_not_say_all():
         assert encoder.encode(text) == np.array(ids_of([text])[0][:-1], "<u4").tobytes()
 
 
+def test_only_pre_tokens_not_held_are_learned(monkeypatch):
+    monkeypatch.setattr(P, "HELD", 6)
+    monkeypatch.setattr(P, "LONGEST_HELD", 9)
+    encoder, learned = P.Encoder(PATH), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.append(sorted(new)), learn(new))[1])
+    for text in ("one two one", "one three", "a" * 20 + " one", "a" * 20 + " one", "four five six seven", "one"):
+        assert encoder.encode(text) == np.array(ids_of([text])[0][:-1], "<u4").tobytes()
+    assert learned == [[" one", " two", "one"], [" three"], ["a" * 20], ["a" * 20], [" five", " seven", " six", "four"], ["one"]]
+
+
 def test_combinations_are_all_that_fill_a_window():
     found = {tuple(c) for c in P.combinations(np.array([2, 3, 5, 6, 7, 10]), 12).tolist()}
     assert found == {(10, 2, 0), (7, 5, 0), (6, 6, 0), (7, 3, 2), (5, 5, 2), (6, 3, 3)}

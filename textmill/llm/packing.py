@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -82,35 +84,46 @@ class Encoder:
 
         return tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=table, special_tokens={})
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        if len(self.ids) > HELD:
-            self.ids.clear()
-        new = [p for p in dict.fromkeys(pieces) if p not in self.ids]
+    def _learn(self, new: set[str]) -> None:
         if self.merger is not None:
             encode = self.merger.encode_ordinary
-            found = {p: np.array(encode(p), "<u4").tobytes() for p in new}
+            self.ids.update([(p, _bytes(encode(p))) for p in new])
         else:
-            found = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, self.cutter.library.encode_batch(new, add_special_tokens=False))}
-        self.ids.update((p, b) for p, b in found.items() if len(p) <= LONGEST_HELD)
-        return {**found, **{p: self.ids[p] for p in pieces if p in self.ids}}
+            names = list(new)
+            self.ids.update((p, _bytes(e.ids)) for p, e in zip(names, self.cutter.library.encode_batch(names, add_special_tokens=False)))
 
     def _plain(self, text: str) -> bytes:
         pieces = self.cutter.cut(text)[0]
         held = self.ids
-        try:
-            return b"".join([held[p] for p in pieces])
-        except KeyError:
-            known = self._learn(pieces)
-            return b"".join([known[p] for p in pieces])
+        if len(held) > HELD:
+            held.clear()
+        out = list(map(held.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        if missing:
+            new = {pieces[i] for i in missing}
+            self._learn(new)
+            for i in missing:
+                out[i] = held[pieces[i]]
+            for p in new:
+                if len(p) > LONGEST_HELD:
+                    del held[p]
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
-        parts = [text] if self.special is None else self.special.split(text)
+        parts = self.special.split(text) if any(name in text for name in self.added) else [text]
         out = []
         for k, part in enumerate(parts):
             out += [self.added[part]] if k % 2 else [self._plain(s) for s in _segments(part)]
         return b"".join(out)
 
 
+def _bytes(ids: list[int]) -> bytes:
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 def _segments(text: str) -> Iterator[str]:
     """A long text cut where a word ends before a blank and a word: no pre-token crosses such a place."""
     at = 0
