@@ -1,13 +1,13 @@
 """Text to token ids and back, as joins of pieces with a vocabulary.
 
-A document is cut into pieces, the pieces are looked up and the ids are put together again per document. A vocabulary
-is a broadcast join; rank tables are looked up by an Arrow function where the pieces are, which are then never rows
-that would be sorted or spilled. So are ids when they are turned back to text. Documents are partitioned by their id
+A document is cut into pieces, the pieces are looked up and the ids are put together again per document. Vocabularies
+(but for corpora of up to about a megabyte, or of unknown size, a broadcast join) and rank tables are looked up by an Arrow
+function where the pieces are, which are then never rows that would be sorted or spilled. So are ids when they are turned back to text. Documents are partitioned by their id
 first: the text, far smaller than its pieces, is what is shuffled, and ids once more after the Arrow function.
 ``partitioned=True`` says that they already are, as after :func:`textmill.sources.corpus.by_document`.
 
 Pieces come together in two levels: those of a stretch of a document first, then the stretches' ids. A long text is
-cut before its pieces are made, so that no row or group holds more pieces than a stretch has. Rank tables too large for
+cut before its pieces are made, so that no row or group holds more pieces than a stretch has. Tables too large for
 every task, or with a key more than once, are joined with rows of pieces.
 """
 
@@ -24,13 +24,14 @@ from textmill import tables
 from textmill.functions import control
 from textmill.functions import pieces as P
 from textmill.operators import vocabulary as V
-from textmill.sources.corpus import by_document
+from textmill.sources.corpus import UNKNOWN_BYTES, by_document, estimated_bytes
 
 DICTIONARY_ROWS = 65_536
 DICTIONARY_PIECE_BYTES = 128
 STRETCH_CHARACTERS = 1 << 16
 STRETCH_TOKENS = 1 << 16
 LOOKED_UP_AT_ONCE = 1 << 20  # pieces or ids of a batch whose copies are in memory together
+JOINED_BYTES = 1 << 20  # a corpus for whose pieces no Python worker is started
 
 
 def _control_rows(spark, first_id: int, family: str) -> DataFrame:
@@ -66,19 +67,16 @@ def _whole(parts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return parts.groupBy(*keys).agg(F.flatten(listed[value]).alias(value))
 
 
+def _known(vocabulary: DataFrame, size: int, family: str) -> DataFrame:
+    """``(piece, id)`` of a vocabulary and its control tokens."""
+    controls = _control_rows(vocabulary.sparkSession, V.control_start(size), family)
+    return vocabulary.select("piece", "id").unionByName(controls)
+
+
 def _found(
-    docs: DataFrame,
-    vocabulary: DataFrame,
-    size: int,
-    keys: Sequence[str],
-    text: str,
-    pattern: str,
-    family: str,
+    docs: DataFrame, known: DataFrame, keys: Sequence[str], text: str, pattern: str, family: str
 ) -> DataFrame:
     """Pieces with their ids; null for those outside the vocabulary."""
-    known = vocabulary.select("piece", "id").unionByName(
-        _control_rows(docs.sparkSession, V.control_start(size), family)
-    )
     known = V.checked_broadcast(known, F.octet_length("piece") + 16)
     return _piece_rows(docs, keys, text, pattern, family).join(known, "piece", "left")
 
@@ -205,6 +203,36 @@ def _merged(ranks: DataFrame):
     return answer
 
 
+def _bytes_of():
+    """Pieces outside a vocabulary are their UTF-8 bytes."""
+
+    def answer():
+        import numpy as np
+        import pyarrow as pa
+
+        def solved(missing):
+            whole = pa.concat_arrays([missing.cast(pa.binary())])
+            _, ends, data = whole.buffers()
+            ends = np.frombuffer(ends, np.int32)[whole.offset : whole.offset + len(whole) + 1] if len(whole) else np.zeros(1, np.int32)
+            codes = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(codes))
+
+        return solved
+
+    return answer
+
+
+def _one_id(number: int):
+    """Pieces outside a vocabulary are that id."""
+
+    def answer():
+        import pyarrow as pa
+
+        return lambda missing: pa.array([[number]] * len(missing), pa.list_(pa.int32()))
+
+    return answer
+
+
 def encode_with_vocabulary(
     docs: DataFrame,
     vocabulary: DataFrame,
@@ -225,14 +253,21 @@ def encode_with_vocabulary(
     if unknown not in ("bytes", "token"):
         raise ValueError("unknown must be 'bytes' or 'token'")
     keys = [id_col, *keep]
-    found = _found(
-        _together(docs.select(*keys, text), id_col, partitioned),
-        vocabulary, size, keys, text, pattern, family,
-    )
+    known = _known(vocabulary, size, family)
+    docs = docs.select(*keys, text)
+    together = _together(docs, id_col, partitioned)
+    number = control.control_id("unknown", V.control_start(size))
+    small = _small(known, "piece", F.octet_length("piece") + 52) if JOINED_BYTES < estimated_bytes(docs) < UNKNOWN_BYTES else None
+    if small is not None:
+        pieces = _stretch_pieces(together, keys, text, pattern, family)
+        table = small.filter("id IS NOT NULL").select("piece", F.array(F.col("id").cast("int")).alias("ids"))
+        answer = _one_id(number) if unknown == "token" else _bytes_of()
+        ids = _lookup_udf(table, "piece", "ids", "ids", answer)("pieces")
+        return _whole(pieces.select(*keys, "stretch", ids.alias("tokens")), keys, "tokens")
+    found = _found(together, known, keys, text, pattern, family)
     if unknown == "token":
-        missing = F.lit(control.control_id("unknown", V.control_start(size)))
         found = found.withColumn(
-            "id", F.when(F.col("piece").isNotNull(), F.coalesce("id", missing))
+            "id", F.when(F.col("piece").isNotNull(), F.coalesce("id", F.lit(number)))
         )
     ids = F.when(F.col("id").isNotNull(), F.array("id")).when(
         F.col("piece").isNotNull(), P.utf8_bytes(F.col("piece"))
@@ -257,7 +292,7 @@ def vocabulary_sizes(
     Counting starts before the shuffle, so the documents stay where they are.
     """
     keys = [id_col, *keep]
-    found = _found(docs, vocabulary, size, keys, text, pattern, family)
+    found = _found(docs, _known(vocabulary, size, family), keys, text, pattern, family)
     count = F.when(F.col("id").isNotNull(), 1).otherwise(
         F.coalesce(F.octet_length("piece"), F.lit(0))
     )

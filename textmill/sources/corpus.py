@@ -87,6 +87,11 @@ def spread(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return docs.repartition(cores, id_col)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The size by the optimizer's estimate; from ``UNKNOWN_BYTES`` on it is not known."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Partition by document id, so that steps that regroup documents find rows in place.
 
@@ -95,7 +100,7 @@ def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     size alone would leave cores idle.
     """
     spark = docs.sparkSession
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = estimated_bytes(docs)
     wanted = -(-size // BYTES_PER_PARTITION) if size < UNKNOWN_BYTES else 0
     partitions = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")),
