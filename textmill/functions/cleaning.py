@@ -120,9 +120,14 @@ def _long_folds(folds: Mapping[str, str]) -> list[tuple[str, str]]:
 
 def tidy_blanks(text: Column) -> Column:
     """No spaces, then no tabs, before a line feed; at most two line feeds in a row."""
-    text = F.regexp_replace(text, r"(?<! ) ++\n", "\n")
-    text = F.regexp_replace(text, r"(?<!\t)\t++\n", "\n")
-    return F.regexp_replace(text, r"\n{3,}+", "\n\n")
+
+    def where(value: Column, held: str, pattern: str, new: str) -> Column:
+        # a plain search is far quicker than trying the pattern at every blank
+        return once(value, lambda v: F.when(F.contains(v, F.lit(held)), F.regexp_replace(v, pattern, new)).otherwise(v))
+
+    text = where(text, " \n", r"(?<! ) ++\n", "\n")
+    text = where(text, "\t\n", r"(?<!\t)\t++\n", "\n")
+    return where(text, "\n\n\n", r"\n{3,}+", "\n\n")
 
 
 def strip(text: Column) -> Column:
