@@ -3,7 +3,7 @@
 A document is cut into pieces, the pieces are looked up and the ids are put together again per document. Vocabularies
 (but for corpora of up to about a megabyte, or of unknown size, a broadcast join) and rank tables are looked up by an Arrow
 function where the pieces are, which are then never rows that would be sorted or spilled. So are ids when they are turned back to text. Documents are partitioned by their id
-first: the text, far smaller than its pieces, is what is shuffled, and ids once more after the Arrow function.
+first: the text, far smaller than its pieces, is what is shuffled; ids are put together where they were looked up.
 ``partitioned=True`` says that they already are, as after :func:`textmill.sources.corpus.by_document`.
 
 Pieces come together in two levels: those of a stretch of a document first, then the stretches' ids. A long text is
@@ -19,10 +19,12 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill import tables
 from textmill.functions import control
 from textmill.functions import pieces as P
+from textmill.functions.binding import once
 from textmill.operators import vocabulary as V
 from textmill.sources.corpus import UNKNOWN_BYTES, by_document, estimated_bytes
 
@@ -89,28 +91,47 @@ def _small(table: DataFrame, key: str, size: Column) -> DataFrame | None:
     return table if (found["bytes"] or 0) <= V.BROADCAST_BYTES and found["rows"] == found["keys"] else None
 
 
+def _listed(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(*keys, _rows)``: the values of all rows of the keys, as a rule of one."""
+    return frame.groupBy(*keys).agg(F.collect_list(F.struct(F.col(value).alias("_value"))).alias("_rows"))
+
+
+def _by_stretch(listed: DataFrame, keys: Sequence[str], cut: Callable[[Column], Column]) -> DataFrame:
+    """``(*keys, stretch, _parts)``: a row for each stretch of :func:`_listed` values, those of equal keys one after the other."""
+
+    def stretches(parts: Column) -> Column:
+        last = F.array_max(F.transform(parts, F.size)) - 1
+        own = lambda k: F.transform(F.filter(parts, lambda part: F.size(part) > k), lambda part: part[k])
+        return F.transform(F.sequence(F.lit(0), last), own)
+
+    parts = once(F.transform("_rows", lambda row: cut(row["_value"])), stretches)
+    return listed.select(*keys, F.posexplode(parts).alias("stretch", "_parts"))
+
+
 def _stretch_pieces(
     docs: DataFrame, keys: Sequence[str], text: str, pattern: str, family: str
 ) -> DataFrame:
     """``(*keys, stretch, pieces)``: an array of pieces for each row that has the keys, as a rule for one."""
-    stretches = P.text_stretches(F.col(text), STRETCH_CHARACTERS, pattern)
-    parts = docs.select(*keys, F.posexplode(stretches).alias("stretch", "_part"))
-    listed = parts.groupBy(*keys, "stretch").agg(F.collect_list(F.struct("_part")).alias("_rows"))
-    pieces = F.transform("_rows", lambda row: P.split_pieces_with_control(row["_part"], pattern, family))
-    return listed.select(*keys, "stretch", pieces.alias("pieces"))
+    cut = lambda value: P.text_stretches(value, STRETCH_CHARACTERS, pattern)
+    parts = _by_stretch(_listed(docs, keys, text), keys, cut)
+    pieces = F.transform("_parts", lambda part: P.split_pieces_with_control(part, pattern, family))
+    return parts.select(*keys, "stretch", pieces.alias("pieces"))
 
 
-def _lookup_udf(table: DataFrame, key: str, value: str, result: str, answer: Callable) -> Callable[[str], Column]:
-    """Arrow UDF over arrays of arrays of keys, one inner array for each row of a group, in order of position.
+def _looked_up(
+    stretches: DataFrame, keys: Sequence[str], name: str, table: DataFrame, key: str, value: str, result: str, answer: Callable
+) -> DataFrame:
+    """``(*keys, name)`` of rows ``(*keys, stretch, arrays of arrays of keys)``, one inner array for each row of a group.
 
-    ``answer()`` makes, once a task, the function that gives the values of distinct keys that the
-    table lacks. ``result`` is the kind of output, ``"ids"`` of lists joined, ``"raw"`` of bytes joined or
-    ``"words"`` of pairs. Nested functions travel by value: executors need not have this package.
+    Each row's keys are looked up in order of position, and the stretches of a document, which stand one after the other
+    from 0 on, are put together where they are: nothing is shuffled. ``answer()`` makes, once a task, the function that gives the
+    values of distinct keys that the table lacks. ``result`` is the kind of output, ``"ids"`` of lists joined, ``"raw"`` of
+    bytes joined or ``"words"`` of pairs. Nested functions travel by value: executors need not have this package.
     """
     found = table.select(key, value).toArrow().combine_chunks()
     columns = [found[c].combine_chunks() if found[c].num_chunks != 1 else found[c].chunk(0) for c in (key, value)]
     shared = table.sparkSession.sparkContext.broadcast(columns)
-    most = LOOKED_UP_AT_ONCE
+    most, width = LOOKED_UP_AT_ONCE, len(keys)
 
     def looked_up(batches):
         import numpy as np
@@ -158,30 +179,53 @@ def _lookup_udf(table: DataFrame, key: str, value: str, result: str, answer: Cal
                     order[ends[i] : ends[i + 1]] = sorted(here, key=by)
                 flat, got = flat.take(pa.array(order)), got.take(pa.array(order))
             if result == "words":
-                pairs = pa.StructArray.from_arrays([flat, got], names=["id", "word"])
-                return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+                return pa.StructArray.from_arrays([flat, got], names=["id", "word"]), ends
             inside = np.frombuffer(got.buffers()[1], np.int32)[got.offset : got.offset + len(got) + 1] if len(got) else np.zeros(1, np.int32)
-            cuts = pa.array((inside[ends] - inside[0]).astype(np.int32))
             if result == "ids":
-                return pa.ListArray.from_arrays(cuts, got.flatten())
-            data = got.buffers()[2] or pa.py_buffer(b"")
-            return pa.Array.from_buffers(pa.binary(), len(rows), [None, cuts.buffers()[1], data.slice(int(inside[0]))])
+                return got.flatten(), (inside[ends] - inside[0]).astype(np.int64)
+            data = np.frombuffer(got.buffers()[2] or b"", np.uint8)[inside[0] : inside[-1]]
+            return pa.array(data), (inside[ends] - inside[0]).astype(np.int64)
+
+        def rows_of(own, parts, cuts):
+            """Rows of the keys ``own`` whose values lie in ``parts`` joined, between ``cuts``."""
+            values = pa.concat_arrays(parts) if len(parts) != 1 else parts[0]
+            cuts = pa.array(cuts - cuts[0], pa.int32())
+            if result == "raw":
+                data = pa.py_buffer(values.to_numpy().tobytes())
+                made = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, cuts.buffers()[1], data])
+            else:
+                made = pa.ListArray.from_arrays(cuts, values)
+            return pa.RecordBatch.from_arrays([*own.columns, made], names=[*own.schema.names, name])
 
+        own, held = None, []  # the document that may go on in the next rows
         for batch in batches:
-            inner = ends_of(pc.fill_null(pc.list_value_length(batch.flatten()), 0))
-            held = inner[ends_of(pc.list_value_length(batch))]
-            done, begin = [], 0
-            while begin < len(batch) or not done:
-                end = max(begin + 1, int(np.searchsorted(held, held[min(begin, len(batch))] + most, side="right")) - 1)
-                done.append(whole(batch.slice(begin, min(end, len(batch)) - begin)))
+            named, at, lists = batch.select(range(width)), batch.column(width).to_numpy(), batch.column(width + 1)
+            inner = ends_of(pc.fill_null(pc.list_value_length(lists.flatten()), 0))
+            size = inner[ends_of(pc.list_value_length(lists))]
+            begin = 0
+            while begin < len(batch):
+                end = min(max(begin + 1, int(np.searchsorted(size, size[begin] + most, side="right")) - 1), len(batch))
+                found_here, ends = whole(lists.slice(begin, end - begin))
+                firsts = np.flatnonzero(at[begin:end] == 0)
+                goes_on = int(firsts[0]) if len(firsts) else end - begin
+                if goes_on:
+                    held.append(found_here.slice(0, int(ends[goes_on])))
+                if len(firsts):
+                    if own is not None:
+                        yield rows_of(own, held, np.array([0, sum(map(len, held))]))
+                    if len(firsts) > 1:
+                        inside = found_here.slice(int(ends[firsts[0]]), int(ends[firsts[-1]] - ends[firsts[0]]))
+                        rows = pa.RecordBatch.from_arrays([c.take(pa.array(begin + firsts[:-1])) for c in named.columns], names=named.schema.names)
+                        yield rows_of(rows, [inside], ends[firsts])
+                    own, held = named.slice(begin + int(firsts[-1]), 1), [found_here.slice(int(ends[firsts[-1]]))]
                 begin = end
-            yield pa.concat_arrays(done)
-
-    import pyarrow as pa
+        if own is not None:
+            yield rows_of(own, held, np.array([0, sum(map(len, held))]))
 
-    looked_up.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     kinds = {"ids": "array<int>", "raw": "binary", "words": "array<struct<id: int, word: string>>"}
-    return F.arrow_udf(looked_up, kinds[result])
+    types = [T.StructField(k, stretches.schema[k].dataType) for k in keys]
+    made = T.StructField(name, T.DataType.fromDDL(kinds[result]))
+    return stretches.mapInArrow(looked_up, T.StructType([*types, made]))
 
 
 def _merged(ranks: DataFrame):
@@ -262,8 +306,7 @@ def encode_with_vocabulary(
         pieces = _stretch_pieces(together, keys, text, pattern, family)
         table = small.filter("id IS NOT NULL").select("piece", F.array(F.col("id").cast("int")).alias("ids"))
         answer = _one_id(number) if unknown == "token" else _bytes_of()
-        ids = _lookup_udf(table, "piece", "ids", "ids", answer)("pieces")
-        return _whole(pieces.select(*keys, "stretch", ids.alias("tokens")), keys, "tokens")
+        return _looked_up(pieces, keys, "tokens", table, "piece", "ids", "ids", answer)
     found = _found(together, known, keys, text, pattern, family)
     if unknown == "token":
         found = found.withColumn(
@@ -417,8 +460,7 @@ def encode_with_ranks(
     together = _together(docs.select(*keys, text), id_col, partitioned)
     if (small := _small(known, "piece", bytes_each)) is not None:
         pieces = _stretch_pieces(together, keys, text, pattern, family)
-        merged = _lookup_udf(small, "piece", "ids", "ids", _merged(ranks))("pieces")
-        return _whole(pieces.select(*keys, "stretch", merged.alias("tokens")), keys, "tokens")
+        return _looked_up(pieces, keys, "tokens", small, "piece", "ids", "ids", _merged(ranks))
     known = V.checked_broadcast(known, bytes_each)
     looked_up = (
         _piece_rows(together, keys, text, pattern, family)
@@ -477,8 +519,9 @@ def _spelled_in_place(
     partitioned: bool,
     unknown: str,
     result: str,
+    distinct: bool,
 ) -> DataFrame | None:
-    """``(*keys, stretch, spelled)`` by looking the ids of each stretch up where they are; None if the table is not for that."""
+    """``(*keys, spelled)`` by looking the ids of each stretch up where they are; None if the table is not for that."""
     if unknown not in ("raise", "replace"):
         raise ValueError("unknown must be 'raise' or 'replace'")
     first = ranks_size(ranks) if first is None else first
@@ -499,15 +542,17 @@ def _spelled_in_place(
 
         return solved
 
-    last = F.greatest(F.coalesce(F.floor((F.size(tokens) - 1) / STRETCH_TOKENS), F.lit(0)), F.lit(0)).cast("int")
-    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(tokens, i * STRETCH_TOKENS + 1, STRETCH_TOKENS))
-    whole = F.when(F.size(tokens) > STRETCH_TOKENS, cut).otherwise(F.array(tokens))
-    together = _together(encoded.select(*keys, tokens), keys[0], partitioned)
-    parts = together.select(*keys, F.posexplode(whole).alias("stretch", "_part"))
-    listed = parts.groupBy(*keys, "stretch").agg(F.collect_list(F.struct("_part")).alias("_rows"))
-    spelled = _lookup_udf(table, "id", "token", result, answer)("_ids").alias("spelled")
-    ids = F.transform("_rows", lambda row: row["_part"].cast("array<int>")).alias("_ids")
-    return listed.select(*keys, "stretch", ids).select(*keys, "stretch", spelled)
+    def cut(ids):
+        last = F.floor((F.size(ids) - 1) / STRETCH_TOKENS).cast("int")
+        several = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(ids, i * STRETCH_TOKENS + 1, STRETCH_TOKENS))
+        return F.when(F.size(ids) > STRETCH_TOKENS, several).otherwise(F.array(ids))
+
+    ids = encoded.select(*keys, F.col(tokens).cast("array<int>").alias("_ids"))
+    if distinct:
+        listed = ids.select(*keys, F.array(F.struct(F.col("_ids").alias("_value"))).alias("_rows"))
+    else:
+        listed = _listed(_together(ids, keys[0], partitioned), keys, "_ids")
+    return _looked_up(_by_stretch(listed, keys, cut), keys, "spelled", table, "id", "token", result, answer)
 
 
 def vocabulary_ranks(vocabulary: DataFrame) -> DataFrame:
@@ -562,20 +607,19 @@ def decode(
     first_control_id: int | None = None,
     partitioned: bool = False,
     unknown: str = "raise",
+    distinct: bool = False,
 ) -> DataFrame:
     """Token ids to text: ``(id_col, *keep, text)``. Broken UTF-8 becomes U+FFFD.
 
-    An id that is in no table stops the job, or reads U+FFFD with ``unknown="replace"``.
+    An id that is in no table stops the job, or reads U+FFFD with ``unknown="replace"``. ``distinct`` says that no
+    two rows have the same keys, as after encoding: rows then stay where they are.
     """
     keys = [id_col, *keep]
     options = (ranks, keys, tokens, family, first_control_id, partitioned, unknown)
-    here = _spelled_in_place(encoded, *options, "raw")
+    here = _spelled_in_place(encoded, *options, "raw", distinct)
     if here is not None:
         # a character may lie across two stretches: only the whole is made valid
-        parts = here.select(*keys, "stretch", F.array(F.col("spelled").cast("string")).alias("raw"))
-        return _whole(parts, keys, "raw").select(
-            *keys, F.make_valid_utf8(F.concat_ws("", "raw")).alias("text")
-        )
+        return here.select(*keys, F.make_valid_utf8(F.col("spelled").cast("string")).alias("text"))
     joined = F.concat_ws("", F.col("parts")["raw"])
     spelled = _spelled(encoded, ranks, keys, tokens, family, first_control_id, partitioned, unknown)
     # a character may lie across two stretches: only the whole is made valid
@@ -595,16 +639,17 @@ def words(
     first_control_id: int | None = None,
     partitioned: bool = False,
     unknown: str = "raise",
+    distinct: bool = False,
 ) -> DataFrame:
     """Each token id with its own text: ``words ARRAY<STRUCT<id, word>>``.
 
-    A token that is only a part of a character reads U+FFFD; unknown ids as in :func:`decode`.
+    A token that is only a part of a character reads U+FFFD; unknown ids and ``distinct`` as in :func:`decode`.
     """
     keys = [id_col, *keep]
     options = (ranks, keys, tokens, family, first_control_id, partitioned, unknown)
-    here = _spelled_in_place(encoded, *options, "words")
+    here = _spelled_in_place(encoded, *options, "words", distinct)
     if here is not None:
-        return _whole(here.withColumnRenamed("spelled", "words"), keys, "words")
+        return here.withColumnRenamed("spelled", "words")
     pairs = F.transform(
         "parts",
         lambda part: F.struct(

@@ -567,7 +567,7 @@ def token_words(spark, sf):
         encoded,
         encoding.vocabulary_ranks(vocab),
         first_control_id=vocabulary.control_start(VOCAB),
-        partitioned=True,
+        distinct=True,
     )
     return named.select("doc_id", F.posexplode("words").alias("pos", "w")).select(
         "doc_id", "pos", F.col("w.id").alias("id"), F.col("w.word").alias("word")
