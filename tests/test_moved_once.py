@@ -5,7 +5,8 @@ import os
 from pyspark.sql import functions as F
 
 from textmill import session
-from textmill.operators import encoding
+from textmill.operators import encoding, mixing, narrow
+from textmill.sources import token_store
 
 
 def _plan(frame):
@@ -42,3 +43,33 @@ def test_shuffle_files_go_with_the_write(spark):
         assert held.agg(F.sum("id")).first()[0] == 499_500 and os.path.exists(path.removeprefix("file:"))
         session.release(held)
         assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_ids_travel_narrow_and_come_back(spark):
+    for ids in ([0, None, 40_000], [-7, 32_767], [-1, 65_535], [1 << 20], [], [65_535, 0]):
+        frame = spark.createDataFrame([(1, ids), (2, None), (3, [])], "i int, tokens array<int>")
+        short, widened = narrow.narrowed(frame, "tokens")
+        fits = ids not in ([-1, 65_535], [1 << 20])
+        assert short.schema["tokens"].dataType.simpleString() == ("array<smallint>" if fits else "array<int>")
+        assert widened(short).schema == frame.schema and sorted(widened(short).collect()) == sorted(frame.collect())
+
+
+def test_one_stored_encoding_for_several_corpora(spark, tmp_path):
+    """A held table is not written again; tokens and what a fraction leaves out are not shuffled in full."""
+    rows = [("train" if i % 5 else "val", i, 3, [i, 300, 4]) for i in range(200)]
+    encoded = spark.createDataFrame(rows, "split string, doc_id long, size int, tokens array<int>")
+    with session.scope(spark):
+        held = session.stored(encoded, "encoded")
+        for name, m in (("whole", 1.0), ("tenth", 0.1), ("none", 0.0)):
+            shards = token_store.save_corpus(held, str(tmp_path / name), name, multiplier=m, max_shards=4, held=True)
+            assert sorted(r.doc_id for r in shards.collect()) == list(range(200))
+            assert not os.path.exists(tmp_path / name / "encoded")
+        assert held.count() == 200
+        frame = mixing.mixed_stream(spark, {n: str(tmp_path / n) for n in ("whole", "tenth", "none")}, seed=2)
+        assert "array<smallint>" in _plan(frame)
+        moved = frame._jdf.queryExecution().optimizedPlan().toString()
+        assert moved.count("md5(") >= 3
+        found = frame.collect()
+    assert all(r.tokens == [r.doc_id, 300, 4] for r in found)
+    assert sorted(r.doc_id for r in found if r.corpus == "whole") == [i for i in range(200) if i % 5]
+    assert len([r for r in found if r.corpus == "tenth"]) == 16 and not [r for r in found if r.corpus == "none"]

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textmill.operators import ordering
+from textmill.operators import narrow, ordering
 from textmill.session import stored
 from textmill.sources import token_store
 
@@ -70,18 +70,25 @@ def mixed_stream(spark: SparkSession, paths: Mapping[str, str], split: str = "tr
     """``(corpus, doc_id, copy, size, start, tokens)`` of stored corpora, by name and path, each by its stored multiplier.
 
     Tokens are read once from the shards, joined by their place, and have their place in the mixed stream: the result is what
-    :func:`examples.token_blocks` cuts blocks from.
+    :func:`examples.token_blocks` cuts blocks from. Documents of a corpus that takes part with a fraction stand first in its hash
+    order: those beyond the last one taken are not shuffled.
     """
-    indexes, factors, shards = [], [], []
+    own = lambda frame, name: frame.filter(F.col("split") == split).withColumn("corpus", F.lit(name))
+    indexes, factors = [], []
     for name, path in paths.items():
-        own = lambda frame: frame.filter(F.col("split") == split).withColumn("corpus", F.lit(name))  # noqa: B023, E731
-        indexes.append(own(token_store.read_index(spark, path)).select("corpus", "doc_id", "start", "size"))
-        shards.append(own(token_store.read_shards(spark, path)).select("corpus", "doc_id", "start", "tokens"))
+        indexes.append(own(token_store.read_index(spark, path), name).select("corpus", "doc_id", "start", "size"))
         factors.append(token_store.read_metadata(spark, path).select(F.lit(name).alias("corpus"), "multiplier"))
     union = lambda frames: frames[0] if len(frames) == 1 else frames[0].unionByName(union(frames[1:]))
     entries = stored(stream_entries(union(indexes), union(factors), seed), "stream")
-    tokens = union(shards).withColumnRenamed("start", "source_start")
-    return entries.join(tokens, ["corpus", "doc_id", "source_start"]).select("corpus", "doc_id", "copy", "size", "start", "tokens")
+    key = ordering.hash_key("corpus", "doc_id", seed=seed)
+    last = {r.corpus: r.key for r in entries.groupBy("corpus").agg(F.max(key).alias("key")).collect()}  # one row per corpus
+    shards = [
+        own(token_store.read_shards(spark, path), name).select("corpus", "doc_id", "start", "tokens").filter(key <= F.lit(last.get(name, "")))
+        for name, path in paths.items()
+    ]
+    tokens, widened = narrow.narrowed(union(shards).withColumnRenamed("start", "source_start"), "tokens")
+    found = entries.join(tokens, ["corpus", "doc_id", "source_start"])
+    return widened(found.select("corpus", "doc_id", "copy", "size", "start", "tokens"))
 
 
 def shares(entries: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from textmill.operators import (
     vocabulary,
 )
 from textmill.plans import prepare
-from textmill.session import shared_folder, stored
+from textmill.session import release, shared_folder, stored
 from textmill.sources import corpus, ranks, text_array, token_store
 
 VOCAB = 4_096  # small enough that byte fallback occurs
@@ -424,7 +424,10 @@ def pieces_join_to_text(spark, sf):
 
 
 def _vocabulary(docs: DataFrame, size: int = VOCAB) -> DataFrame:
-    return stored(vocabulary.build_vocabulary(_counts(docs), size), "vocabulary")
+    counts = _counts(docs)
+    chosen = stored(vocabulary.build_vocabulary(counts, size), "vocabulary")
+    release(counts)
+    return chosen
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -648,7 +651,8 @@ def mixed_stream_tokens(spark, sf):
     encoded = stored(_encoded(spark, sf, ratio=0.1), "encoded")  # both corpora have the same documents
     for name, multiplier in (("twice", 2.0), ("half", 0.5)):
         paths[name] = _folder(spark, name)
-        token_store.save_corpus(encoded, paths[name], name, multiplier=multiplier, max_shards=8)
+        token_store.save_corpus(encoded, paths[name], name, multiplier=multiplier, max_shards=8, held=True)
+    release(encoded)
     found = mixing.mixed_stream(spark, paths, seed=SEED)
     return found.select("corpus", "doc_id", "copy", "size", "start", F.concat_ws(" ", "tokens").alias("tokens"))
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from textmill import tables
-from textmill.operators import layout, vocabulary
-from textmill.session import discard
+from textmill.operators import layout, narrow, vocabulary
+from textmill.session import discard, shuffles_dropped
 
 TOKENS_PER_TASK = 1 << 24  # of a stream that one task writes
 BYTES_PER_TASK = 1 << 26  # of raw token files that one task reads
@@ -29,9 +29,9 @@ def write_shards(
     """
     rows = placed.select("split", "shard", "start", "doc_id", "size", "tokens")
     if dealt:
-        rows.sortWithinPartitions("split", "shard", "start").write.mode("overwrite").partitionBy(
-            "split", "shard"
-        ).parquet(path)
+        rows.sortWithinPartitions("split", "shard", "start").write.mode("overwrite").option(
+            "compression", "zstd"
+        ).partitionBy("split", "shard").parquet(path)
         return
     # one row per split
     sizes = placed.groupBy("split").agg(F.max(F.col("start") + F.col("size")).alias("n")).collect()
@@ -72,29 +72,33 @@ def save_corpus(
     training_part: str = "pretraining",
     multiplier: float = tables.DEFAULT_MULTIPLIER,
     max_shards: int = tables.MAX_SHARDS,
+    held: bool = False,
 ) -> DataFrame:
     """Store ``(doc_id, split, tokens, size)`` under ``path`` and return the shards.
 
     ``encoded`` is computed once, into ``encoded/``; index, shards and metadata are made
-    from there, and it is deleted when they are written.
+    from there, and it is deleted when they are written. ``held`` says that it is a stored table already, which is read as it is.
     """
     spark = encoded.sparkSession
-    encoded.select("doc_id", "split", "size", "tokens").write.mode("overwrite").parquet(
-        f"{path}/encoded"
-    )
-    held = spark.read.parquet(f"{path}/encoded")
-    total = held.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
-    stretch = max(1, min(TOKENS_PER_TASK, -(-total // spark.sparkContext.defaultParallelism)))
-    # tokens move once, to the stretch of their stream, and are written from there
-    placed = layout.offsets(held, max_shards=max_shards, tokens_per_bucket=stretch)
-    write_shards(placed, f"{path}/shards", dealt=True)
-    shards = read_shards(spark, path)
-    write_index(shards, f"{path}/index")
-    sizes = layout.split_sizes(held, text=None)
-    write_metadata(
-        layout.metadata(sizes, name, training_part, multiplier), f"{path}/metadata"
-    )
-    discard(spark, f"{path}/encoded")
+    encoded = encoded.select("doc_id", "split", "size", "tokens")
+    with shuffles_dropped(spark):
+        if not held:
+            encoded.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/encoded")
+            encoded = spark.read.parquet(f"{path}/encoded")
+        total = encoded.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
+        stretch = max(1, min(TOKENS_PER_TASK, -(-total // spark.sparkContext.defaultParallelism)))
+        # tokens move once, to the stretch of their stream, and are written from there
+        short, widened = narrow.narrowed(encoded, "tokens")
+        placed = widened(layout.offsets(short, max_shards=max_shards, tokens_per_bucket=stretch))
+        write_shards(placed, f"{path}/shards", dealt=True)
+        shards = read_shards(spark, path)
+        write_index(shards, f"{path}/index")
+        sizes = layout.split_sizes(encoded, text=None)
+        write_metadata(
+            layout.metadata(sizes, name, training_part, multiplier), f"{path}/metadata"
+        )
+    if not held:
+        discard(spark, f"{path}/encoded")
     return shards
 
 
