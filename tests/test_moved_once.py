@@ -1,11 +1,12 @@
 """Tokens are not moved to be put together, and travel narrow where they must; what is done with goes from disk."""
 
+import hashlib
 import os
 
 from pyspark.sql import functions as F
 
 from textmill import session
-from textmill.operators import encoding, mixing, narrow
+from textmill.operators import encoding, examples, mixing, narrow
 from textmill.sources import token_store
 
 
@@ -73,3 +74,22 @@ def test_one_stored_encoding_for_several_corpora(spark, tmp_path):
     assert all(r.tokens == [r.doc_id, 300, 4] for r in found)
     assert sorted(r.doc_id for r in found if r.corpus == "whole") == [i for i in range(200) if i % 5]
     assert len([r for r in found if r.corpus == "tenth"]) == 16 and not [r for r in found if r.corpus == "none"]
+
+
+def test_examples_are_shuffled_once_for_all_epochs(spark):
+    rows = [(None if b % 9 == 4 else "train", b, [b, 40_000], [b % 7]) for b in range(300)]
+    frame = spark.createDataFrame(rows, "split string, block long, x array<int>, y array<int>")
+    with session.scope(spark):
+        batches = examples.shuffled_batches(frame, epochs=3, batch_size=16, seed=1)
+        assert "array<smallint>" in _plan(batches) and "explode" not in _plan(batches)
+        assert batches.schema["x"].dataType.simpleString() == "array<int>"
+        found = batches.collect()
+        twice = examples.shuffled_batches(frame.unionByName(frame.filter("block < 5")), epochs=3, batch_size=16, seed=1)
+        assert twice.count() == 3 * 305
+    assert len(found) == 900 and all([r.split, r.block, r.x, r.y] == list(rows[r.block]) for r in found)
+    for split in ("train", None):
+        for epoch in range(3):
+            own = sorted((r for r in found if r.split == split and r.epoch == epoch), key=lambda r: (r.batch, r.slot))
+            assert [(r.batch, r.slot) for r in own] == [divmod(i, 16) for i in range(len(own))]
+            keys = [hashlib.md5("-".join([*([split] if split else []), str(r.block), str(epoch), "1"]).encode()).hexdigest() for r in own]
+            assert keys == sorted(keys)

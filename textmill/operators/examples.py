@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill import tables
-from textmill.operators import ordering
+from textmill.operators import narrow, ordering
+from textmill.session import shuffles_dropped, stored
 
 ROWS_PER_BUCKET = 1 << 14
 MOST_DIGITS = 7
@@ -118,25 +119,37 @@ def shuffled_batches(
     The order is that of a hash of example, epoch and seed. Hash prefixes are the buckets
     of the numbering, of even size whatever the examples are; there are as many as the examples need at about
     ``ROWS_PER_BUCKET`` each, unless ``bucket_digits`` says how many hexadecimal digits a prefix has. Batches
-    do not depend on it. ``examples`` should be a stored table, it is read three times.
+    do not depend on it. Only keys are numbered, and stored; the examples are shuffled once, whatever the number of epochs, with
+    ids in two bytes where they fit. Examples without a key of their own are numbered as whole rows. ``examples`` should be a stored
+    table, it is read four times.
     """
     key = [c for c in key if c in examples.columns]
     within = [c for c in within if c in examples.columns]
+    named = list(dict.fromkeys([*key, *within]))
+    spark = examples.sparkSession
+    with shuffles_dropped(spark):
+        each = examples.groupBy(*named).agg(F.count(F.lit(1)).alias("n"))
+        found = each.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    rows, alone = found["rows"] or 0, (found["most"] or 0) <= 1
     if bucket_digits is None:
         bucket_digits = 0
-        rows = examples.select(*key).count()
         while bucket_digits < MOST_DIGITS and rows > ROWS_PER_BUCKET * 16**bucket_digits:
             bucket_digits += 1
+    short, widened = narrow.narrowed(examples, *[c for c in examples.columns if c not in named])
     order_key = ordering.hash_key(*key, "epoch", seed=seed)
     keyed = (
-        examples.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+        (short.select(*named) if alone else short)
+        .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
         .withColumn("_order", order_key)
         .withColumn("_bucket", ordering.hash_bucket(F.col("_order"), bucket_digits) if bucket_digits else F.lit(0))
     )
     numbered = ordering.row_index(
         keyed, ["_order", *key], "_bucket", within=[*within, "epoch"], name="_row"
     )
-    return numbered.select(
+    if alone:
+        places = stored(numbered.select(*named, "epoch", "_row"), "places")
+        numbered = ordering.null_safe_join(places, short, named)
+    return widened(numbered).select(
         *examples.columns,
         "epoch",
         F.floor(F.col("_row") / batch_size).alias("batch"),

@@ -21,6 +21,7 @@ from textmill.operators import (
     layout,
     metrics,
     mixing,
+    narrow,
     ordering,
     vocabulary,
 )
@@ -660,11 +661,16 @@ def mixed_stream_tokens(spark, sf):
 # --- examples and chat ------------------------------------------------------
 
 
-def _examples(spark, sf) -> DataFrame:
+def _placed(spark, sf) -> DataFrame:
     held = stored(_encoded(spark, sf, ratio=0.1), "encoded")
-    placed = layout.offsets(held, rows_per_bucket=64)
-    blocks = examples.token_blocks(stored(placed, "placed"))
-    return examples.next_token_examples(blocks)
+    short, widened = narrow.narrowed(held, "tokens")
+    placed = stored(widened(layout.offsets(short, rows_per_bucket=64)), "placed")
+    release(held)
+    return placed
+
+
+def _examples(spark, sf) -> DataFrame:
+    return examples.next_token_examples(examples.token_blocks(_placed(spark, sf)))
 
 
 def _joined(frame: DataFrame, *names: str) -> DataFrame:
@@ -691,8 +697,10 @@ def padded_examples(spark, sf):
 
 @query
 def shuffled_batches(spark, sf):
-    held = stored(_examples(spark, sf), "examples")
-    batches = examples.shuffled_batches(held, epochs=2, seed=SEED)
+    placed = _placed(spark, sf)
+    blocks = stored(examples.token_blocks(placed), "blocks")  # x and y are cut from them where they are read
+    release(placed)
+    batches = examples.shuffled_batches(examples.next_token_examples(blocks), epochs=2, seed=SEED)
     return _joined(batches.select("split", "epoch", "batch", "slot", "block", "x"), "x")
 
 
